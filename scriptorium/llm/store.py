@@ -1,0 +1,49 @@
+"""Intermediate tables in the folder that all machines of the cluster share.
+
+Writing a table cuts lineage: a lost executor makes Spark read the table again instead of
+recomputing the steps before it.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_own: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Where it is unset, a local master gets a temporary
+    folder and a cluster gets a folder inside the warehouse, which is shared as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            if spark.sparkContext.master.startswith("local"):
+                _own[app] = "file://" + tempfile.mkdtemp(prefix="scriptorium-")
+            else:
+                _own[app] = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scriptorium"
+        folder = _own[app]
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Writes df to the shared folder and reads it back; also returns the path, for drop()."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop(spark: SparkSession, *paths: str) -> None:
+    """Deletes intermediate tables that no returned DataFrame reads any more."""
+    jvm = spark._jvm
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
