@@ -100,7 +100,7 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[i
     offset = F.expr(f"__start + begin - block * {block}L")
     used = pieces.join(slots, ["__id", "block"], "left").withColumn("words", F.greatest(F.lit(0), F.least(offset + F.col("n"), F.coalesce("take", F.lit(0))) - offset))
     if text:  # of the last block of a source perhaps only the first words are taken
-        part = F.regexp_extract("text", F.concat(F.lit(f"^((?:{JAVA_TOKEN}){{"), F.col("words"), F.lit("})")), F.lit(1))
+        part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(JAVA_TOKEN), F.lit(0)), F.lit(1), F.col("words").cast("int")), "")
         used = used.withColumn("text", F.when(F.col("words") == F.col("n"), F.col("text")).when(F.col("words") > 0, part))
     return used.select(key, "size", "source_size", "target", "__row", "block", "begin", F.coalesce("words", F.lit(0)).cast("long").alias("words"), "pass", "shard", "slot", *(["text"] if text else []), *([F.col("__carried").alias(carry)] if carry else []))
 
