@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import mixing, quality, sharding, token_files
 
 
 def _table(spark, sf_dir, name):
@@ -16,6 +16,22 @@ def op2_source_mixing(spark, sf_dir):
     return mixing.taken(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_quality_rules(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return quality.measure(docs.select("doc_id", "text")).drop("text", "repeat_spans")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_token_files(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return token_files.round_trip(docs, tokenizer_path())
+
+
 def op10_sharding(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     docs = docs.select(
@@ -29,6 +45,8 @@ def op10_sharding(spark, sf_dir):
 
 QUERIES = {
     "op2_source_mixing": op2_source_mixing,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_token_files": op6_token_files,
     "op10_sharding": op10_sharding,
 }
 ORACLE_SQL: dict[str, str] = {}
