@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding, token_files
+from . import langid, mixing, quality, sharding, token_files, toxicity
 
 
 def _table(spark, sf_dir, name):
@@ -32,6 +32,24 @@ def op6_token_files(spark, sf_dir):
     return token_files.round_trip(docs, tokenizer_path())
 
 
+def _fold(folds: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op8_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs, _fold(4) != 2)
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op9_toxicity(spark, sf_dir):
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, _fold(5) != 0)
+    out = toxicity.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted", "offending")
+
+
 def op10_sharding(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     docs = docs.select(
@@ -47,6 +65,8 @@ QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_files": op6_token_files,
+    "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
 }
 ORACLE_SQL: dict[str, str] = {}
