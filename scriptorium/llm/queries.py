@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality, sharding, token_files, toxicity
+from . import jaccard_join, langid, mixing, quality, sharding, token_files, toxicity
 
 
 def _table(spark, sf_dir, name):
@@ -32,6 +32,10 @@ def op6_token_files(spark, sf_dir):
     return token_files.round_trip(docs, tokenizer_path())
 
 
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.link(_table(spark, sf_dir, "documents"))
+
+
 def _fold(folds: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_files": op6_token_files,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
