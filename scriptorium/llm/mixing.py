@@ -23,7 +23,7 @@ from .words import JAVA_TOKEN, count_words
 
 PRIME = 2147483647
 #: Rounds of the index permutations.
-ROUNDS = 24
+ROUNDS = 10
 #: Slots are generated in runs, so that the longest array in one row stays short.
 RUN = 4096
 
@@ -78,7 +78,11 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[i
     )
     buckets = bucket_count(docs.count())
     base = base.withColumn("__b", F.expr(f"(__h * {buckets}) div 4294967296"))
-    sums = base.groupBy("__s", "__b").agg(F.sum("size").alias("__c"))
+    if text:
+        sums, _ = keep(base.groupBy("__s", "__b").agg(F.sum("size").alias("__c")), "mix-sums")
+    else:  # words are counted once
+        base, _ = keep(base, "mix-sizes")
+        sums = base.groupBy("__s", "__b").agg(F.sum("size").alias("__c"))
     sources, sources_at = keep(targets(sums.groupBy("__s").agg(F.sum("__c").alias("__size")), share, cap, weights), "mix-sources")
 
     before = F.sum("__c").over(Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__c")
@@ -114,12 +118,15 @@ def draw(sources: DataFrame, block: int, shard_slots: int, seed: int) -> DataFra
     quota = quota.withColumn("__shards", F.ceil(F.sum("__q").over(everything) / shard_slots)).filter("__q > 0")
 
     units = quota.select("__id", "__q", "__shards", F.explode(F.expr(f"sequence(0L, (__q - 1) div {RUN})")).alias("__run"))
+    units = units.repartition("__id", "__run")
     units = units.select("__id", "__shards", F.explode(F.expr(f"sequence(__run * {RUN}, least(__q, (__run + 1) * {RUN}) - 1)")).alias("__i"))
     chance = shuffle_hash(F.concat_ws(":", "__id", "__i"), seed + 1)
     thrown = units.select("__id", F.floor(chance * F.col("__shards") / F.lit(4294967296)).alias("shard"))
     counts = thrown.groupBy("__id", "shard").agg(F.count("*").alias("__c"))
     upto = F.sum("__c").over(Window.partitionBy("__id").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0))
     ranges = counts.withColumn("__to", upto).join(quota, "__id")
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges.repartition(tasks, "shard", "__id")  # few rows here become many slots
     slots = ranges.select("__id", "shard", "__size", "__n", "__whole", "__full", "__words", F.explode(F.expr("sequence(__to - __c, __to - 1)")).alias("__i"))
     slots = slots.withColumns({"pass": F.expr("__i div __n"), "__j": F.expr("__i % __n")})
     # the short block at a source's end stays last, so the words before an index are known
