@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import jaccard_join, langid, mixing, quality, sharding, token_files, toxicity
+from . import decontaminate, jaccard_join, langid, mixing, quality, sharding, token_files, toxicity
 
 
 def _table(spark, sf_dir, name):
@@ -16,6 +16,12 @@ def op2_source_mixing(spark, sf_dir):
     return mixing.taken(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_benchmark_decontamination(spark, sf_dir):
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = decontaminate.contaminated(docs, benchmark)
+    return found.select("doc_id", "item_id", "coverage", "tiles", "longest", F.lit(True).alias("contaminated"))
+
+
 def op5_quality_rules(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return quality.measure(docs.select("doc_id", "text")).drop("text", "repeat_spans")
@@ -67,6 +73,7 @@ def op10_sharding(spark, sf_dir):
 
 QUERIES = {
     "op2_source_mixing": op2_source_mixing,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_files": op6_token_files,
     "op7_jaccard_join": op7_jaccard_join,
