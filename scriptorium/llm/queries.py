@@ -4,13 +4,77 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, langid, mixing, quality, sharding, token_files, toxicity
+from . import decontaminate, jaccard_join, langid, mixing, quality, sharding, token_files, toxicity, url_filter
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The test tables have neither fetch times nor a list. Both are made from ids and hosts by fixed
+#: arithmetic: a capture time in 2024 for each page, and a log of entries for the hosts that occur.
+_EPOCH, _DAY = 1704067200, 86400
+
+
+def _captures(pages):
+    return pages.select("page_id", "url", F.expr(f"{_EPOCH} + (page_id * 37 % 366) * {_DAY} + page_id * 7919 % {_DAY}").alias("fetched_at"))
+
+
+def _entries(pages):
+    host = url_filter.host_of(F.col("url"))
+    hosts = pages.select(host.alias("host")).filter("host <> ''").distinct()
+    number = lambda c: F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("long")
+    hosts = hosts.withColumn("domain", F.substring_index("host", ".", -3)).withColumns({"h": number("host"), "d": number("domain")})
+    entry = "if({when}, named_struct('list', '{list}', 'effect', '{effect}', 'kind', '{kind}', 'pattern', {pattern}, 'action', '{action}', 'at', {epoch} + ({day}) * {length}), null)"
+    log = [entry.format(when=w, list=n, effect=e, kind=k, pattern=p, action=a, day=d, epoch=f"{_EPOCH}L", length=_DAY) for w, n, e, k, p, a, d in _LOG]
+    return hosts.select(F.explode(F.array_compact(F.expr(f"array({', '.join(log)})"))).alias("e")).select("e.*").distinct()
+
+
+#: When, list, effect, kind, pattern, action and day of the entries of a host.
+_LOG = (
+    ("h % 4 = 0", "spam", "block", "host", "host", "add", "h % 200"),
+    ("h % 8 = 0", "spam", "block", "host", "host", "remove", "h % 200 + 60"),
+    ("h % 16 = 0", "spam", "block", "host", "host", "add", "h % 200 + 120"),
+    ("d % 6 = 1", "malware", "block", "domain", "domain", "add", "d % 300"),
+    ("h % 3 = 0", "region", "block", "prefix", "concat(host, '/fr')", "add", "30"),
+    ("h % 3 = 0", "region", "block", "prefix", "concat(host, '/fr')", "remove", "200"),
+    ("h % 12 = 0", "partners", "allow", "host", "host", "add", "100"),
+)
+
+
+def op1_url_filters(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(_captures(pages), _entries(pages))
+
+
+_SQL_LOG = " union all ".join(f"select '{n}' as list, '{e}' as effect, '{k[0]}:' || {p} as token, '{a}' as action, {_EPOCH} + ({d}) * {_DAY} as since from hosts where {w}" for w, n, e, k, p, a, d in _LOG)
+OP1_SQL = rf"""
+with captures as (
+  select page_id, url, {_EPOCH} + (page_id * 37 % 366) * {_DAY} + page_id * 7919 % {_DAY} as fetched_at,
+    rtrim(lower(regexp_extract(url, '{url_filter.HOST}', 1)), '.') as host, rtrim(regexp_extract(url, '{url_filter.PATH}', 1), '/') as path
+  from pages),
+names as (select distinct host from captures where host <> ''),
+hosts as (
+  select host, array_to_string(string_split(host, '.')[-3:], '.') as domain, cast('0x' || substr(md5(host), 1, 8) as bigint) as h,
+    cast('0x' || substr(md5(array_to_string(string_split(host, '.')[-3:], '.')), 1, 8) as bigint) as d
+  from names),
+log as (select distinct * from ({_SQL_LOG})),
+spans as (select *, lead(since) over (partition by list, effect, token order by since, action) as until from log),
+asked as (
+  select distinct page_id, url, fetched_at, token from (
+    select page_id, url, fetched_at, unnest(list_concat(['h:' || host, 'p:' || host],
+      list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: 'd:' || array_to_string(string_split(host, '.')[i:], '.')),
+      list_transform(range(2, len(string_split(path, '/')) + 1), lambda i: 'p:' || host || array_to_string(string_split(path, '/')[1:i], '/')))) as token
+    from captures where host <> '')),
+verdict as (
+  select page_id, count(*) as active, array_to_string(list_sort(list_distinct(list(list) filter (where effect = 'block'))), ',') as blocked_by, bool_or(effect = 'allow') as allowed
+  from asked join spans using (token) where action = 'add' and since <= fetched_at and (until is null or fetched_at < until) group by page_id)
+select c.page_id, c.url, c.fetched_at, coalesce(active, 0) as active, coalesce(blocked_by, '') as blocked_by,
+  coalesce(blocked_by, '') = '' or coalesce(allowed, false) as kept
+from captures c left join verdict v using (page_id)
+"""
+
+
 def op2_source_mixing(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return mixing.taken(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -72,6 +136,7 @@ def op10_sharding(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op2_source_mixing": op2_source_mixing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_quality_rules": op5_quality_rules,
@@ -81,4 +146,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filters": OP1_SQL,
+}
