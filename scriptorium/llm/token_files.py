@@ -24,12 +24,12 @@ import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -130,37 +130,124 @@ class TokenFile:
 
 #: White space around a space: only there may a cut before a space divide a pre-token.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
+#: After letters, a run of these signs to a segment's end is one pre-token.
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for bytes: printable Latin-1 stands for
+    itself, the other bytes in ascending order for the letters from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class Encoder:
-    """Ids of whole texts. Byte-level pre-tokens never run across a space that follows a word, so
-    texts are cut there and the ids of repeated segments are looked up."""
+    """Ids of whole texts, as little-endian 32-bit numbers.
+
+    Byte-level pre-tokens never run across a space that follows a word, so texts are cut there
+    and the ids of repeated segments are looked up. New segments that are a word, or a word and
+    signs, are known to be one or two pre-tokens; their pre-tokens go to the tokenizer's model in
+    one call, all other segments through the whole tokenizer."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = CharDelimiterSplit("\n")
+        self.alphabet = {b: c for b, c in _byte_alphabet().items() if b != 10}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)
         self.cache: dict[str, bytes] = {}
 
+    def _single(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of single pre-tokens, one after another, and each one's count of ids."""
+        if not pieces:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        text = "\n".join(pieces).encode("utf-8", "surrogatepass").decode("latin-1").translate(self.alphabet)
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        # tokens and pieces are both known by their bytes, so the pieces' last tokens follow
+        sizes = np.cumsum(np.fromiter(map(len, text.split("\n")), np.int64, len(pieces)))
+        stop = np.searchsorted(np.cumsum(self.bytes[ids]), sizes, "left") + 1
+        return ids, np.diff(stop, prepend=0)
+
+    def _any(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(lists), np.uint32), np.fromiter(map(len, lists), np.int64, len(lists))
+
+    def _lookup(self, words: list[str], single: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct segments: one array with the ids of all, and where each one's begin and how many they are."""
+        found = list(map(self.cache.get, words))
+        new = np.array([f is None for f in found], bool)
+        known = [f for f in found if f is not None]
+        sizes = np.zeros(len(words), np.int64)
+        sizes[~new] = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        order = [np.flatnonzero(~new)]
+        parts = [np.frombuffer(b"".join(known), np.uint32)]
+        for at, encode in ((np.flatnonzero(new & single), self._single), (np.flatnonzero(new & ~single), self._any)):
+            ids, many = encode([words[i] for i in at.tolist()])
+            sizes[at] = many
+            order.append(at)
+            parts.append(ids)
+            # the segments met first, among them all common ones, stay
+            stop = np.cumsum(many)
+            for i, e, m in zip(at[: max(0, CACHE - len(self.cache))].tolist(), stop.tolist(), many.tolist(), strict=False):
+                self.cache[words[i]] = ids[e - m : e].tobytes()
+        place = np.concatenate(order)
+        begin = np.zeros(len(words), np.int64)
+        begin[place] = np.cumsum(sizes[place]) - sizes[place]
+        return np.concatenate(parts), begin, sizes
+
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        cache, cut = self.cache, []
-        for t in texts:
-            if t and not _UNSAFE.search(t):
-                first, *rest = t.split(" ")
-                cut.append([first, *map(" ".__add__, rest)])
-            else:
-                cut.append([t] if t else [])
-        missing = list(set(chain.from_iterable(cut)) - cache.keys())
-        # the segments met first, among them all common ones, stay; later ones live for one call
-        room = max(0, CACHE - len(cache))
-        for s, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            cache[s] = array("I", e.ids).tobytes()
-        out = [np.frombuffer(b"".join(map(cache.__getitem__, c)), np.uint32) for c in cut]
-        for s in missing[room:]:
-            del cache[s]
-        return out
+        if not texts:
+            return []
+        whole = [not t or bool(_UNSAFE.search(t)) for t in texts]
+        lists = pc.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole, strict=True)], pa.string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        offsets, codes = lists.offsets.to_numpy(), coded.indices.to_numpy()
+        segments = coded.dictionary
+        # a segment is a word and signs, where the word may also be empty or anything else
+        words = pc.utf8_rtrim(segments, characters=_SIGNS)
+        plain = pc.utf8_is_alpha(words)
+        words = pc.if_else(plain, words, segments).dictionary_encode()
+        cut = pc.subtract(pc.binary_length(segments), pc.binary_length(words.dictionary.take(words.indices))).to_numpy()
+        signs = np.zeros(len(segments), np.int64)
+        ends, at = {"": 0}, np.flatnonzero(cut)
+        for i, s, n in zip(at.tolist(), segments.take(pa.array(at)).to_pylist(), cut[at].tolist(), strict=True):
+            signs[i] = ends.setdefault(s[-n:], len(ends))
+        # a text's first segment has no space before it
+        first = [t or "" if w else t.partition(" ")[0] for t, w in zip(texts, whole, strict=True)]
+        base = [" " + w for w in words.dictionary.to_pylist()]
+        pool, begin, sizes = self._lookup(base, pc.utf8_is_alpha(words.dictionary).to_numpy(zero_copy_only=False))
+        extra, many = self._any([*ends, *first])
+        begin = np.concatenate((begin, len(pool) + np.cumsum(many) - many))
+        sizes, pool = np.concatenate((sizes, many)), np.concatenate((pool, extra))
+        pieces = np.empty((len(codes), 2), np.int64)
+        pieces[:, 0] = words.indices.to_numpy()[codes]
+        pieces[:, 1] = len(base) + signs[codes]
+        start = offsets[:-1]
+        pieces[start, 0], pieces[start, 1] = len(base) + len(ends) + np.arange(len(texts)), len(base)
+        pieces = pieces.ravel()
+        many = sizes[pieces]
+        stop = np.cumsum(many)
+        ids = pool[np.repeat(begin[pieces] - stop + many, many) + np.arange(stop[-1])]
+        return np.split(ids, stop[2 * offsets[1:-1] - 1])
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder for all tasks that a Python worker runs."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files: int | None = None, key: str = "doc_id", body: str = "text") -> DataFrame:
@@ -180,7 +267,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files:
 
         task = TaskContext.get()
         part, attempt = task.partitionId(), task.taskAttemptId()
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         keys, ids, made, total = [], [], [], 0
 
         def close():
@@ -193,7 +280,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files:
 
         for batch in batches:
             k, t = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in groups_of(t, 4_000_000):
+            for lo, hi in groups_of(t, 10_000_000):
                 for one, got in zip(k[lo:hi], encode(t[lo:hi]), strict=True):
                     keys.append(one)
                     ids.append(np.append(got, np.uint32(end_id)))
