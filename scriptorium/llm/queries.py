@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, langid, mixing, quality, sharding, token_files, toxicity, url_filter
+from . import decontaminate, jaccard_join, langid, mixing, passages, quality, sharding, token_files, toxicity, url_filter
 
 
 def _table(spark, sf_dir, name):
@@ -86,6 +86,10 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return found.select("doc_id", "item_id", "coverage", "tiles", "longest", F.lit(True).alias("contaminated"))
 
 
+def op4_substring_dedup(spark, sf_dir):
+    return passages.repeated(_table(spark, sf_dir, "documents")).drop("__doc")
+
+
 def op5_quality_rules(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return quality.measure(docs.select("doc_id", "text")).drop("text", "repeat_spans")
@@ -139,6 +143,7 @@ QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_source_mixing": op2_source_mixing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_files": op6_token_files,
     "op7_jaccard_join": op7_jaccard_join,
