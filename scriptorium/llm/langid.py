@@ -29,7 +29,8 @@ from .words import Batch, groups_of, mix64
 
 LETTER = re.compile(r"[^\W\d_]")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
-BATCH_CHARS = 4_000_000
+#: Characters of texts handled together, in tasks and where the sample is fitted.
+BATCH_CHARS, FIT_CHARS = 4_000_000, 400_000
 MOST_CLASSES = 1000
 
 
@@ -167,7 +168,7 @@ def fit(docs: DataFrame, learn: Column, o: Options = Options(), body: str = "tex
     rows = known.filter(shuffle_hash(F.col("k"), 8) < rate[F.col("y")]).toPandas().sort_values(["k", "t"], ignore_index=True)
 
     xs: list = []
-    for lo, hi in groups_of(rows.t.tolist(), BATCH_CHARS):
+    for lo, hi in groups_of(rows.t.tolist(), FIT_CHARS):
         batch = Batch(rows.t[lo:hi])
         doc, word, count = _pairs(batch)
         grams, owners = ngrams(batch.uniques, o)
@@ -179,7 +180,7 @@ def fit(docs: DataFrame, learn: Column, o: Options = Options(), body: str = "tex
         value *= o.scale / np.bincount(where, value, hi - lo)[where] if len(value) else 1
         cut = np.searchsorted(where, np.arange(hi - lo + 1))
         for a, b in zip(cut[:-1], cut[1:], strict=True):
-            xs.append((np.append(bucket[a:b], o.buckets), np.append(value[a:b], 1.0)))
+            xs.append((np.append(bucket[a:b], o.buckets).astype(np.int32), np.append(value[a:b], 1.0).astype(np.float32)))
     ys = np.array([classes.index(y) for y in rows.y], np.int64)
     aside = np.random.default_rng(0).random(len(xs)) < o.calibrate
     use = np.flatnonzero(~aside) if (~aside).any() else np.arange(len(xs))
