@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from .words import trim
+
 
 def add_columns(df: DataFrame, inputs: list[str], ddl: str, start: Callable[[], Callable[..., dict]], drop: tuple[str, ...] = ()) -> DataFrame:
     """All columns of df but those in drop, and the columns of ddl. They replace columns of the
@@ -31,5 +33,7 @@ def add_columns(df: DataFrame, inputs: list[str], ddl: str, start: Callable[[],
                 arrays.append(value.cast(t.type) if isinstance(value, pa.Array) else pa.array(value, t.type))
                 fields.append(pa.field(t.name, t.type))
             yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
+            del arrays, batch
+            trim()
 
     return df.select(*dict.fromkeys([*rest, *inputs])).mapInArrow(run, schema)

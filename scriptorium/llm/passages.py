@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from .components import components
 from .jaccard_join import _join, _overlaps
 from .store import drop, keep
-from .words import Batch, groups_of, mix64
+from .words import Batch, groups_of, mix64, trim
 
 SHINGLE = 5
-GROUP_CHARS, BUCKET_DOCS = 8_000_000, 512
+GROUP_CHARS, BUCKET_DOCS = 3_000_000, 512
 LEAST_BUCKETS, MOST_BUCKETS = 1 << 10, 1 << 18
 BITMAP_BITS = 24
 
@@ -130,6 +130,7 @@ def _pack(o: Options, buckets: int):
             for lo, hi in groups_of(texts, GROUP_CHARS):
                 yield from pack(gid, rows.slice(lo, hi - lo), texts[lo:hi]).to_batches()
                 gid += 1
+            trim()
 
     def pack(gid: int, rows: pa.RecordBatch, texts: list) -> pa.Table:
         batch, values, at = paragraphs(texts, o)
@@ -168,7 +169,7 @@ def _pack(o: Options, buckets: int):
     return run
 
 
-def _meet(buckets: int):
+def _meet(o: Options, buckets: int):
     """Contents that other groups hold too, and pairs of different contents with a band in common."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -198,7 +199,9 @@ def _meet(buckets: int):
             new_key = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.empty(0, bool)
             new = new_key | np.concatenate(([True], mark[1:] != mark[:-1])) if len(key) else new_key
             leader = np.maximum.accumulate(np.where(new_key, np.arange(len(key)), 0))
-            other = np.flatnonzero(new & ~new_key)
+            # paragraphs that overlap in one text are no news
+            beside = (g == g[leader]) & (np.abs(p.astype(np.int64) - p[leader].astype(np.int64)) < o.size)
+            other = np.flatnonzero(new & ~new_key & ~beside)
             pairs.append(np.stack((g[leader[other]], p[leader[other]].astype(np.int64), g[other], p[other].astype(np.int64)), axis=1))
         pair = np.unique(np.concatenate(pairs), axis=0)
         if len(pair):
@@ -265,8 +268,8 @@ def _shingles(o: Options):
                     at = np.array([x["begin"] for x in some], np.int64) + batch.starts[i]
                     for x, p, c in zip(some, at.tolist(), _contents(values, at, o).astype(np.int64).tolist(), strict=True):
                         s = np.unique(values[p : p + o.size - SHINGLE + 1].astype("<i8"))
-                        out.append((x["wid"], c, len(s), s.tobytes()))
-            yield from _table(out, [pa.int64(), pa.int64(), pa.int64(), pa.binary()], ["wid", "content", "n", "shared"]).to_batches()
+                        out.append((x["wid"], c, len(s), s))
+            yield from _table(out, [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())], ["wid", "content", "n", "shared"]).to_batches()
 
     return run
 
@@ -286,7 +289,7 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     while buckets < MOST_BUCKETS and buckets * BUCKET_DOCS < rows:
         buckets *= 2
     narrow = docs.select(F.xxhash64(docs[key], docs[body]).alias("h"), docs[key].cast("long").alias("k"), docs[body].alias("t"))
-    met = narrow.mapInArrow(_pack(o, buckets), _ROWS).groupBy("bucket").applyInArrow(_meet(buckets), _ROWS)
+    met = narrow.mapInArrow(_pack(o, buckets), _ROWS).groupBy("bucket").applyInArrow(_meet(o, buckets), _ROWS)
     found, found_at = keep(met.groupBy("gid").applyInArrow(_gather, _FOUND), "paragraphs")
 
     asked = found.filter("kind = 3").select("wid", "hash", "begin", "did", "key")
@@ -296,14 +299,14 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     shared = spark.sparkContext.broadcast(np.packbits(bitmap, bitorder="little"))
     texts, texts_at = keep(narrow.select("h", "t").mapInArrow(_marked(shared), "h long, t string").dropDuplicates(["h"]), "texts")
     wanted = asked.groupBy("hash").agg(F.collect_list(F.struct("wid", "begin")).alias("asked"))
-    shingles = wanted.join(texts, wanted["hash"] == texts["h"]).select("asked", "t").mapInArrow(_shingles(o), "wid long, content long, n long, shared binary")
+    shingles = wanted.join(texts, wanted["hash"] == texts["h"]).select("asked", "t").mapInArrow(_shingles(o), "wid long, content long, n long, shared array<long>")
     shingles, shingles_at = keep(shingles, "shingles")
 
     pairs = found.filter("kind = 4").select("wid", "wid2").distinct()
     left = shingles.select("wid", F.col("content").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
     right = shingles.select(F.col("wid").alias("wid2"), F.col("content").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
     both = pairs.join(right, "wid2").join(left, "wid").filter("a <> b").select("a", "b", "na", "nb", "sa", "sb")
-    verified = both.mapInArrow(_overlaps, "a long, b long, na long, nb long, inter long").filter(F.col("inter") >= o.threshold * (F.col("na") + F.col("nb") - F.col("inter")))
+    verified = both.mapInArrow(_overlaps, "a long, b long, na long, nb long, inter long, ea long, eb long").filter(F.col("inter") >= o.threshold * (F.col("na") + F.col("nb") - F.col("inter")))
     edges, edges_at = keep(verified.select("a", "b").distinct(), "edges")
     labels, labels_at = keep(components(edges), "labels")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -84,6 +86,14 @@ class Batch:
         return out[first], self.doc[first]
 
 
+def trim() -> None:
+    """Gives memory that a task has freed back to the machine; Python workers outlive tasks."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def groups_of(texts, most_chars: int):
     """Slices of a list of texts with at most so many characters each, or one longer text."""
     start = size = 0
