@@ -157,7 +157,7 @@ def _measure(column: pa.Array, limits: Limits) -> dict:
             out["longest_repeat"][lo:hi] = longest
             cut = np.union1d(edge, batch.starts[(batch.starts > 0) & (batch.counts > 0)])  # a span ends with its text
             cut = cut[cut < len(marked)]
-            stop = np.append(cut[1:], len(marked))
+            stop = np.append(cut[1:], len(marked))[: len(cut)]
             for s, e in zip(cut.tolist(), stop.tolist(), strict=True):
                 if marked[s]:
                     d = int(batch.doc[s])
