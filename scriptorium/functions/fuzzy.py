@@ -9,6 +9,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..conf import COLLAPSED_THRESHOLD, FUZZY_THRESHOLD
 from .offsets import utf16_offset
@@ -16,7 +17,7 @@ from .offsets import utf16_offset
 MARKED = r"(?s)^(.*?)\[\[(.*?)\]\](.*)$"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Unicode normalization form C, for which Spark has no function."""
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
@@ -52,7 +53,7 @@ def derive_ranges(df: DataFrame, quoted: str = "quoted_text", text: str = "accep
     return exact.unionByName(ranged.withColumns({"found_start": F.col("__r.start"), "found_end": F.col("__r.end")}).drop("__r"))
 
 
-@F.pandas_udf("struct<start: int, end: int>")
+@F.pandas_udf(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 def similar(quoted: pd.Series, text: pd.Series) -> pd.DataFrame:
     pairs = [locate(q, t) or (None, None) for q, t in zip(quoted, text, strict=True)]
     return pd.DataFrame(pairs, columns=["start", "end"], dtype="Int32")
