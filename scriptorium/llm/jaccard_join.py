@@ -4,14 +4,17 @@
    by the bucket of their first bits, to one exchange, where the number of documents that hold
    each is counted; only shared ones (held by two documents or more) come back. A document with
    fewer shared shingles than the least overlap that a link needs has no link and is done.
-2. Documents with equal sets are one class. Among the classes that are left, documents with
+2. Documents with equal sets are one class. For the classes that are left, shingles are counted
+   once more, as copies don't count now. Among those that are still left, documents with
    equal MinHash values are compared with the first of them; those that link form a group with it.
 3. The token-group matrix has a row for each group and each token of the group's union of
-   members' prefixes: the rarest shared tokens, as many as a linked partner cannot all miss. Two
-   groups that share no token have no link. For the others the groups' first members are
-   compared; if these don't link, the triangle inequality of the Jaccard distance bounds every
-   pair of members by their distances to the first ones. Only pairs of groups that may hold a
-   link are opened, and there only members within the bound that share a prefix token.
+   members' prefixes: the rarest shared tokens, as many as a linked partner cannot all miss (of
+   these, the indexed ones are those that no larger partner can all miss). Two groups have no
+   link unless an indexed token of one is in the other's row. For the others the groups' first members are
+   compared; if these don't link, their overlap and the most tokens that a member adds to its
+   first member's bound the overlap of any member with the other group's union. Only groups
+   that no links connect yet and that reach a link's least overlap are opened, and there only members that reach it too and
+   share a prefix token.
 4. Components of the links, and each class's smallest key.
 
 Sets are compared by 64-bit hashes in counts and class fingerprints, and by at least 43 bits of
@@ -29,18 +32,18 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import drop, keep
-from .words import Batch, groups_of, mix64
+from .words import Batch, groups_of, mix64, trim
 
 SHINGLE = 5
 #: A link needs NUM / DEN of the union.
 NUM, DEN = 3, 4
 #: Texts of one packed group; documents to a bucket of hashes.
-GROUP_CHARS, BUCKET_DOCS = 8_000_000, 512
+GROUP_CHARS, BUCKET_DOCS = 3_000_000, 512
 LEAST_BUCKETS, MOST_BUCKETS = 1 << 11, 1 << 18
 SEEDS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B, 0x510E527FADE682D1)
 
 _PACKED = "bucket long, gid long, kind int, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
-_DOCS = "rid long, key long, n long, fp1 long, fp2 long, m1 long, m2 long, m3 long, m4 long, prefix array<long>, shared binary"
+_DOCS = "rid long, key long, n long, fp1 long, fp2 long, m1 long, m2 long, m3 long, m4 long, shared array<long>"
 
 
 def least_overlap(n: np.ndarray) -> np.ndarray:
@@ -72,6 +75,7 @@ def _pack(buckets: int):
                     high = min(hi, low + 65536)
                     yield pack(gid, keys.slice(low, high - low), texts[low:high])
                     gid += 1
+            trim()
 
     def pack(gid: int, keys: pa.Array, texts: list) -> pa.RecordBatch:
         h, n = _sets(texts)
@@ -99,11 +103,10 @@ def _pack(buckets: int):
         key = (bucket[many].astype("<u8") << np.uint64(32)) | token[many]
         out.append((buckets + gid % buckets, gid, 2, key.tobytes(), of_many.astype("<u4").tobytes(), ds[held].tobytes(), b"", b"", b"", b""))
         cut, cut_many = np.searchsorted(bucket[one], np.arange(buckets + 1)), np.searchsorted(bucket[many], np.arange(buckets + 1))
-        t1, d1, tm, cm = token[one], ds[one], token[many], np.minimum(of_many, 65535).astype("<u2")
-        ref = np.arange(len(many), dtype="<u4")
+        t1, d1, tm = token[one], ds[one], token[many]
         for b in np.flatnonzero((np.diff(cut) > 0) | (np.diff(cut_many) > 0)).tolist():
             s, m = slice(cut[b], cut[b + 1]), slice(cut_many[b], cut_many[b + 1])
-            out.append((b, gid, 1, t1[s].tobytes(), d1[s].tobytes(), tm[m].tobytes(), cm[m].tobytes(), ref[m].tobytes(), b"", b""))
+            out.append((b, gid, 1, t1[s].tobytes(), d1[s].tobytes(), tm[m].tobytes(), b"", b"", b"", b""))
         columns = list(zip(*out, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _PACKED_TYPES, strict=True)], names=_PACKED_NAMES)
 
@@ -131,23 +134,15 @@ def _count(buckets: int):
         gid = table.column("gid").to_numpy()
         t1, n1 = _join(table.column("a"), "<u4")
         d1, _ = _join(table.column("b"), "<u2")
-        tm, nm = _join(table.column("c"), "<u4")
-        cm, _ = _join(table.column("d"), "<u2")
-        ref, _ = _join(table.column("e"), "<u4")
-        token = np.concatenate((t1, tm))
-        values, at = np.unique(token, return_inverse=True)
-        held = np.bincount(at, np.concatenate((np.ones(len(t1), np.int64), cm)), len(values))
-        df = np.minimum(held, 65535).astype("<u2")[at]
-        df1, dfm = df[: len(t1)], df[len(t1) :]
-        keep_one = df1 > 1
-        row = np.repeat(np.arange(len(gid)), n1)[keep_one]
-        t1, d1, df1 = t1[keep_one], d1[keep_one], df1[keep_one]
-        cut, cut_many = np.searchsorted(row, np.arange(len(gid) + 1)), np.concatenate(([0], np.cumsum(nm)))
-        out = []
-        for i in range(len(gid)):
-            s, m = slice(cut[i], cut[i + 1]), slice(cut_many[i], cut_many[i + 1])
-            if s.stop > s.start or m.stop > m.start:
-                out.append((bucket, int(gid[i]), 1, t1[s].tobytes(), d1[s].tobytes(), df1[s].tobytes(), ref[m].tobytes(), dfm[m].tobytes(), b"", b""))
+        tm, _ = _join(table.column("c"), "<u4")
+        values, at, held = np.unique(np.concatenate((t1, tm)), return_inverse=True, return_counts=True)
+        several = held > 1
+        several[at[len(t1) :]] = True  # in another group's several documents
+        shared = several[at[: len(t1)]]
+        row = np.repeat(np.arange(len(gid)), n1)[shared]
+        t1, d1 = t1[shared], d1[shared]
+        cut = np.searchsorted(row, np.arange(len(gid) + 1))
+        out = [(bucket, int(gid[i]), 1, t1[a:b].tobytes(), d1[a:b].tobytes(), b"", b"", b"", b"", b"") for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
         columns = list(zip(*out, strict=True)) if out else [[]] * len(_PACKED_TYPES)
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _PACKED_TYPES, strict=True)], names=_PACKED_NAMES)
 
@@ -168,54 +163,48 @@ def _gather(table: pa.Table) -> pa.Table:
 
     t1, n1 = _join(back.column("a"), "<u4")
     d1, _ = _join(back.column("b"), "<u2")
-    df1, _ = _join(back.column("c"), "<u2")
-    ref, _ = _join(back.column("d"), "<u4")
-    dfm, _ = _join(back.column("e"), "<u2")
     token1 = (np.repeat(back.column("bucket").to_numpy(), n1).astype(np.int64) << 32) | t1
     many, many_n, many_d = raw(several, "a", "<u8").astype(np.int64), raw(several, "b", "<u4").astype(np.int64), raw(several, "c", "<u2")
-    df_many = np.zeros(len(many), np.int64)
-    df_many[ref] = dfm
     doc = np.concatenate((d1, many_d)).astype(np.int64)
     token = np.concatenate((token1, np.repeat(many, many_n)))
-    df = np.concatenate((df1, np.repeat(df_many, many_n))).astype(np.int64)
-
     shared = np.bincount(doc, minlength=len(n))
     need = least_overlap(n)
     dense = (n > 0) & (shared >= need)
     use = dense[doc]
-    doc, token, df = doc[use], token[use], df[use]
-    order = np.lexsort((token, doc))
-    sorted_doc, sorted_token = doc[order], token[order].astype("<i8")
-    rare = np.lexsort((token, df, doc))
-    rare_token = token[rare]
-    cut = np.searchsorted(sorted_doc, np.arange(len(n) + 1))
-    prefix: list = [None] * len(n)
+    doc, token = doc[use], token[use]
+    token = token[np.argsort(doc, kind="stable")]
     sets: list = [None] * len(n)
+    at = 0
     for i in np.flatnonzero(dense).tolist():
-        a, b = cut[i], cut[i + 1]
-        sets[i] = sorted_token[a:b].tobytes()
-        prefix[i] = rare_token[a : a + shared[i] - need[i] + 1]
-    arrays = [pa.array((gid << 16) + np.arange(len(n))), pa.array(key.astype(np.int64), mask=null.astype(bool)), pa.array(n.astype(np.int64)), *[pa.array(s.astype(np.int64)) for s in stats], pa.array(prefix, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
+        sets[i] = token[at : at + shared[i]]
+        at += shared[i]
+    arrays = [pa.array((gid << 16) + np.arange(len(n))), pa.array(key.astype(np.int64), mask=null.astype(bool)), pa.array(n.astype(np.int64)), *[pa.array(s.astype(np.int64)) for s in stats], pa.array(sets, pa.list_(pa.int64()))]
     return pa.Table.from_arrays(arrays, names=[c.split()[0] for c in _DOCS.split(", ")])
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes of the intersections of sa and sb (distinct numbers, sorted), and what each has alone."""
     for rows in batches:
-        a, b = rows.column(rows.schema.get_field_index("sa")), rows.column(rows.schema.get_field_index("sb"))
-        inter = [len(np.intersect1d(np.frombuffer(x.as_buffer(), "<i8"), np.frombuffer(y.as_buffer(), "<i8"), assume_unique=True)) for x, y in zip(a, b, strict=True)]
-        take = [rows.column(rows.schema.get_field_index(c)) for c in ("a", "b", "na", "nb")]
-        yield pa.RecordBatch.from_arrays([*take, pa.array(inter, pa.int64())], names=["a", "b", "na", "nb", "inter"])
+        column = {n: rows.column(k) for k, n in enumerate(rows.schema.names)}
+        sets = [(c.values.to_numpy(zero_copy_only=False), c.offsets.to_numpy()) for c in (column["sa"], column["sb"])]
+        inter, over = np.zeros(len(rows), np.int64), np.zeros((2, len(rows)), np.int64)
+        for i in range(len(rows)):
+            x, y = (v[o[i] : o[i + 1]] for v, o in sets)
+            inter[i] = len(np.intersect1d(x, y, assume_unique=True))
+            over[:, i] = len(x) - inter[i], len(y) - inter[i]
+        take = [column[c] for c in ("a", "b", "na", "nb")]
+        yield pa.RecordBatch.from_arrays([*take, *[pa.array(x) for x in (inter, *over)]], names=["a", "b", "na", "nb", "inter", "ea", "eb"])
 
 
 def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs(a, b) with na, nb, inter, linked and distance. The side that may repeat very often, a,
+    """pairs(a, b) with na, nb, inter, ea and eb (shared tokens of one alone) and linked. The side that may repeat very often, a,
     is joined last and nothing is grouped after it, so a hot one is split over tasks."""
     right = sets.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
     left = sets.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "na", "nb", "sa", "sb")
-    done = both.mapInArrow(_overlaps, "a long, b long, na long, nb long, inter long")
+    done = both.mapInArrow(_overlaps, "a long, b long, na long, nb long, inter long, ea long, eb long")
     union = F.col("na") + F.col("nb") - F.col("inter")
-    return done.withColumns({"linked": DEN * F.col("inter") >= NUM * union, "distance": 1 - F.col("inter") / union})
+    return done.withColumn("linked", DEN * F.col("inter") >= NUM * union)
 
 
 def link(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
@@ -243,8 +232,8 @@ def link(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     member, member_at = keep(member.select("rid", "key", "n", F.coalesce("rep", "rid").alias("rep"), F.coalesce("least", "key").alias("least")), "members")
 
     dense = table.filter("shared is not null").join(member.filter("rid <> rep").select("rid"), "rid", "left_anti")
-    dense, dense_at = keep(dense.select("rid", "n", "m1", "m2", "m3", "m4", "prefix", "shared"), "dense")
-    edges, edges_at = _links(dense)
+    dense, dense_at = keep(dense.select("rid", "n", "m1", "m2", "m3", "m4", "shared"), "dense")
+    edges, edges_at = _links(*_again(dense))
     labels = components(edges)
     least = labels.join(member.filter("rid = rep").select(F.col("rid").alias("v"), "least"), "v")
     lowest, _ = keep(least.groupBy("label").agg(F.min("least").alias("lowest")), "lowest")
@@ -253,15 +242,36 @@ def link(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     return member.join(found, "rep", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("lowest", "least").alias("component_id"))
 
 
-def _links(dense: DataFrame) -> tuple[DataFrame, list[str]]:
+def _again(dense: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The step of the shared shingles once more, among the classes that it has left: copies no
+    longer count. Adds the prefix (the rarest shared tokens), how many of it are indexed, and
+    central: a class whose tokens many others hold is likely to stand in the middle of them."""
+    held, held_at = keep(dense.select("rid", F.explode("shared").alias("token")), "tokens")
+    many, many_at = keep(held.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "shared-tokens")
+    least = held.join(many, "token").groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    least = least.join(dense.drop("shared"), "rid")
+    size, need = F.size("t"), F.expr(f"({NUM} * n + {DEN - 1}) div {DEN}")
+    # the overlap with a partner that has as many shingles or more is at least 2 t / (1 + t) of the own
+    as_large = F.expr(f"({2 * NUM} * n + {NUM + DEN - 1}) div {NUM + DEN}")
+    least = least.filter(size >= need).withColumns({
+        "shared": F.array_sort("t.token"), "prefix": F.slice("t.token", F.lit(1), (size - need + 1).cast("int")),
+        "indexed": F.greatest(F.lit(0), size - as_large + 1).cast("int"),
+        "central": F.expr("aggregate(t.df, 0L, (s, x) -> s + least(x, 1000000)) * 1000 div n"),
+    })
+    out, out_at = keep(least.drop("t"), "dense-again")
+    return out, [held_at, many_at, out_at]
+
+
+def _links(dense: DataFrame, paths: list[str]) -> tuple[DataFrame, list[str]]:
     """Links between classes, enough of them to connect all that links connect."""
-    paths, found = [], []
-    live, grouped = dense.select("rid", "m1", "m2", "m3", "m4"), None
+    found = []
+    live = dense.select("rid", "m1", "m2", "m3", "m4", "central")
     for keys in (["m1", "m2"], ["m3", "m4"], ["m1"], ["m3"]):
-        first = live.groupBy(*keys).agg(F.min("rid").alias("a"), F.count("*").alias("c")).filter("c > 1").drop("c")
+        first = live.groupBy(*keys).agg(F.max(F.struct("central", -F.col("rid"))).alias("top"), F.count("*").alias("c")).filter("c > 1")
+        first = first.select(*keys, (-F.col("top")["col2"]).alias("a"))
         first, at = keep(first, "firsts")
         pairs, pairs_at = keep(live.select(F.col("rid").alias("b"), *keys).join(first, keys).filter("a <> b").select("a", "b"), "star-pairs")
-        stars, stars_at = keep(_compare(pairs, dense).filter("linked").select("a", "b", "distance"), "stars")
+        stars, stars_at = keep(_compare(pairs, dense).filter("linked").select("a", "b", F.col("eb").alias("extra")), "stars")
         live, live_at = keep(live.join(stars.select(F.col("b").alias("rid")), "rid", "left_anti"), "live")
         paths += [at, pairs_at, stars_at, live_at]
         found.append(stars)
@@ -270,27 +280,43 @@ def _links(dense: DataFrame) -> tuple[DataFrame, list[str]]:
         stars = stars.union(more)
 
     # the token-group matrix
-    group = dense.select("rid", "n", "prefix").join(stars.select(F.col("b").alias("rid"), F.col("a").alias("leader"), "distance"), "rid", "left")
-    group, group_at = keep(group.select("rid", "n", "prefix", F.coalesce("leader", "rid").alias("g"), F.coalesce("distance", F.lit(0.0)).alias("r")), "groups")
-    cells = group.select("g", "n", F.explode("prefix").alias("token")).groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    group = dense.select("rid", "n", "indexed", "prefix").join(stars.select(F.col("b").alias("rid"), F.col("a").alias("leader"), "extra"), "rid", "left")
+    group, group_at = keep(group.select("rid", "n", "indexed", "prefix", F.coalesce("leader", "rid").alias("g"), F.coalesce("extra", F.lit(0)).alias("extra"), F.col("leader").isNotNull().alias("follows")), "groups")
+    cells = group.select("g", "n", "indexed", F.posexplode("prefix").alias("place", "token")).groupBy("token", "g").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.when(F.col("place") < F.col("indexed"), F.col("n"))).alias("indexed")
+    )
     cells, cells_at = keep(cells, "matrix")
-    left, right = cells.alias("x"), cells.alias("y")
-    meet = F.expr(f"x.token = y.token and x.g < y.g and {DEN} * x.high >= {NUM} * y.low and {DEN} * y.high >= {NUM} * x.low")
-    pairs, pairs_at = keep(left.join(right, meet).select(F.col("x.g").alias("a"), F.col("y.g").alias("b")).distinct(), "group-pairs")
+    # the smaller of two linked documents has a common token among its indexed ones
+    left, right = cells.filter("indexed is not null").alias("x"), cells.alias("y")
+    meet = F.expr(f"x.token = y.token and x.g <> y.g and x.indexed <= y.high and {DEN} * x.high >= {NUM} * y.low")
+    pairs, pairs_at = keep(left.join(right, meet).select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b")).distinct(), "group-pairs")
     leaders, leaders_at = keep(_compare(pairs, dense), "leaders")
-    radius, radius_at = keep(group.groupBy("g").agg(F.max("r").alias("r")).filter("r > 0"), "radius")
-    limit = 1 - NUM / DEN + 1e-9
-    far = leaders.filter("not linked").select("a", "b", "distance")
-    far = far.join(radius.select(F.col("g").alias("a"), F.col("r").alias("ra")), "a", "left").join(radius.select(F.col("g").alias("b"), F.col("r").alias("rb")), "b", "left")
-    bound = F.col("distance") - F.coalesce("ra", F.lit(0.0)) - F.coalesce("rb", F.lit(0.0))
-    opened, opened_at = keep(far.filter(bound <= limit).filter("ra is not null or rb is not null").select("a", "b", "distance"), "opened")
-
-    token = F.explode("prefix").alias("token")
-    xs = opened.join(group.select(F.col("g").alias("a"), F.col("rid").alias("x"), F.col("r").alias("rx"), F.col("n").alias("nx"), token), "a")
-    ys = opened.join(group.select(F.col("g").alias("b"), F.col("rid").alias("y"), F.col("r").alias("ry"), F.col("n").alias("ny"), token), "b")
-    near = xs.join(ys.drop("distance"), ["a", "b", "token"]).filter(F.col("rx") + F.col("ry") >= F.col("distance") - limit)
-    near = near.filter(f"{DEN} * nx >= {NUM} * ny and {DEN} * ny >= {NUM} * nx").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    # what a group's union adds to its first member's tokens in any one member, and the least size
+    beyond = group.groupBy("g").agg(F.max("extra").alias("extra"), F.min("n").alias("low"), F.max(F.col("follows")).alias("several"))
+    beyond, beyond_at = keep(beyond, "beyond")
+    side = lambda k: beyond.select(F.col("g").alias(k), F.col("extra").alias(f"x{k}"), F.col("low").alias(f"low{k}"), F.col("several").alias(f"several{k}"))
+    far = leaders.filter("not linked").select("a", "b", "inter").join(side("a"), "a").join(side("b"), "b")
+    may = f"{NUM + DEN} * (inter + xa + xb) >= {NUM} * (lowa + lowb) and (severala or severalb)"
+    # groups that links already connect need not be opened
+    known = stars.select("a", "b").union(leaders.filter("linked").select("a", "b"))
+    labels, labels_at = keep(components(known), "known-labels")
+    own = lambda k: labels.select(F.col("v").alias(k), F.col("label").alias(f"of{k}"))
+    far = far.filter(may).join(own("a"), "a", "left").join(own("b"), "b", "left").filter("coalesce(ofa, a) <> coalesce(ofb, b)")
+    opened, opened_at = keep(far.select("a", "b", "inter", "xa", "lowa", "xb", "lowb"), "opened")
+
+    # members that cannot reach the bound with any of the other group are left out, and so are pairs
+    # of members beyond it or without a prefix token in common
+    turned = opened.select(F.col("b").alias("a"), F.col("a").alias("b"), "inter", F.col("xb").alias("xa"), F.col("lowb").alias("lowa"), F.col("xa").alias("xb"), F.col("lowa").alias("lowb"))
+    both = opened.union(turned)
+    reach = lambda own, n, other, low: f"{NUM + DEN} * (inter + {own} + {other}) >= {NUM} * ({n} + {low})"
+    xs = group.select(F.col("g").alias("gx"), F.col("rid").alias("x"), F.col("extra").alias("ex"), F.col("n").alias("nx"), F.slice("prefix", F.lit(1), F.col("indexed")).alias("px")).filter(F.size("px") > 0)
+    ys = group.select(F.col("g").alias("gy"), F.col("rid").alias("y"), F.col("extra").alias("ey"), F.col("n").alias("ny"), F.col("prefix").alias("py"))
+    xs = both.join(xs, F.expr(f"a = gx and {reach('ex', 'nx', 'xb', 'lowb')}")).select("a", "b", "inter", "x", "ex", "nx", "px")
+    ys = both.join(ys, F.expr(f"b = gy and {reach('ey', 'ny', 'xa', 'lowa')}")).select("a", "b", "y", "ey", "ny", "py")
+    meet = f"{NUM + DEN} * (inter + ex + ey) >= {NUM} * (nx + ny) and nx <= ny and nx * {DEN} >= {NUM} * ny and arrays_overlap(px, py)"
+    near = xs.alias("l").join(ys.alias("r"), F.expr(f"l.a = r.a and l.b = r.b and {meet}"))
+    near = near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     near, near_at = keep(near, "opened-pairs")
     inner, inner_at = keep(_compare(near, dense).filter("linked").select("a", "b"), "inner")
-    edges = stars.select("a", "b").union(leaders.filter("linked").select("a", "b")).union(inner)
-    return edges, [*paths, group_at, cells_at, pairs_at, leaders_at, radius_at, opened_at, near_at, inner_at]
+    edges = known.union(inner)
+    return edges, [*paths, group_at, cells_at, pairs_at, leaders_at, beyond_at, labels_at, opened_at, near_at, inner_at]
