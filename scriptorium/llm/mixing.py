@@ -49,14 +49,26 @@ def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]
     return place.withColumn("__target", F.least(F.col("__most"), F.coalesce(level * F.col("__w"), F.col("__most")))).drop("__free", "__level", "__most")
 
 
-def permuted(x: str, n: str, salt: str) -> str:
-    """SQL for a pseudorandom permutation of 0 to n - 1: a swap-or-not shuffle. Each round pairs
-    every place with its mirror image around a key, and a bit of the pair decides whether they swap."""
+def _swap(n: str, salt: str, div: str) -> tuple[str, str]:
+    """A round's condition and the mirror image of place v, for round i."""
     key = f"(({salt} * 7919 + i * 1299721 + 12345) % {PRIME} * (i * 48271 + {salt}) % {PRIME})"
     mirror = f"(({key} % {n} + {n} - v) % {n})"
     top = f"greatest(v, {mirror})"
-    bit = f"(({top} + i * 7907 + {salt} * 31) % {PRIME} * (({top} * 3 + {salt} * 104729 + i * 611953) % {PRIME}) % {PRIME} div 64 % 2)"
-    return f"aggregate(sequence(1L, {ROUNDS}L), cast({x} as bigint), (v, i) -> if({bit} = 1, {mirror}, v))"
+    bit = f"(({top} + i * 7907 + {salt} * 31) % {PRIME} * (({top} * 3 + {salt} * 104729 + i * 611953) % {PRIME}) % {PRIME} {div} 64 % 2)"
+    return f"{bit} = 1", mirror
+
+
+def permuted(x: str, n: str, salt: str) -> str:
+    """SQL for a pseudorandom permutation of 0 to n - 1: a swap-or-not shuffle. Each round pairs
+    every place with its mirror image around a key, and a bit of the pair decides whether they swap."""
+    swap, mirror = _swap(n, salt, "div")
+    return f"aggregate(sequence(1L, {ROUNDS}L), cast({x} as bigint), (v, i) -> if({swap}, {mirror}, v))"
+
+
+def permuted_sql(x: str, n: str, salt: str) -> str:
+    """The same permutation in DuckDB's SQL."""
+    swap, mirror = _swap(n, salt, "//")
+    return f"list_reduce(list_prepend(cast({x} as bigint), range(1, {ROUNDS + 1})), lambda v, i: case when {swap} then {mirror} else v end)"
 
 
 def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = (3, 1, 2), block: int = 128, shard_slots: int = 1024, seed: int = 0, text: bool = False, carry: str | None = None, source: str = "source", key: str = "doc_id", body: str = "text") -> DataFrame:
