@@ -142,7 +142,7 @@ def _measure(column: pa.Array, limits: Limits) -> dict:
     texts = column.to_pylist()
     out = {k: np.zeros(len(texts), np.int64) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat")}
     spans: list = [[] for _ in texts]
-    for lo, hi in groups_of(texts, 2_000_000):
+    for lo, hi in groups_of(texts, 1_000_000):
         batch = Batch(texts[lo:hi])
         best = repeats(batch.ids, batch.counts)
         base = united(best, 8)

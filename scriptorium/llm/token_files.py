@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import keep, new_folder
-from .words import groups_of
+from .words import groups_of, trim
 
 MAGIC = b"SCRPFOR1"
 BLOCK, LANES = 256, 64
@@ -165,6 +165,7 @@ class Encoder:
         for token, i in vocabulary.items():
             self.bytes[i] = len(token)
         self.cache: dict[str, bytes] = {}
+        self.most = CACHE
 
     def _single(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of single pre-tokens, one after another, and each one's count of ids."""
@@ -197,7 +198,7 @@ class Encoder:
             parts.append(ids)
             # the segments met first, among them all common ones, stay
             stop = np.cumsum(many)
-            for i, e, m in zip(at[: max(0, CACHE - len(self.cache))].tolist(), stop.tolist(), many.tolist(), strict=False):
+            for i, e, m in zip(at[: max(0, self.most - len(self.cache))].tolist(), stop.tolist(), many.tolist(), strict=False):
                 self.cache[words[i]] = ids[e - m : e].tobytes()
         place = np.concatenate(order)
         begin = np.zeros(len(words), np.int64)
@@ -250,10 +251,13 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files: int | None = None, key: str = "doc_id", body: str = "text") -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files: int | None = None, group_chars: int = 10_000_000, cache: int = CACHE, key: str = "doc_id", body: str = "text") -> DataFrame:
     """Writes all documents as token files into folder and returns the manifest: file, seq (order
     of the files), documents, ids and first_id (ids of all files before).
 
+    Texts of group_chars characters together are encoded at once and the ids of `cache` segments
+    kept between them: both trade memory of a task for time.
+
     Null texts have the end id alone. Null keys come first; rows with equal keys are ordered by
     text. An empty table gives no file. Files go to their final names by rename, so a task that
     runs again leaves the same files; the folder must be shared by all machines.
@@ -268,6 +272,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files:
         task = TaskContext.get()
         part, attempt = task.partitionId(), task.taskAttemptId()
         encode = encoder(tokenizer)
+        encode.most = cache
         keys, ids, made, total = [], [], [], 0
 
         def close():
@@ -280,7 +285,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files:
 
         for batch in batches:
             k, t = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in groups_of(t, 10_000_000):
+            for lo, hi in groups_of(t, group_chars):
                 for one, got in zip(k[lo:hi], encode(t[lo:hi]), strict=True):
                     keys.append(one)
                     ids.append(np.append(got, np.uint32(end_id)))
@@ -289,6 +294,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files:
                         close()
         if keys:
             close()
+        trim()
         if made:
             columns = list(zip(*made, strict=True))
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())

@@ -6,6 +6,7 @@ import ctypes
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -88,6 +89,7 @@ class Batch:
 
 def trim() -> None:
     """Gives memory that a task has freed back to the machine; Python workers outlive tasks."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # another C library
