@@ -9,8 +9,10 @@ anchor, and the `size` words from an anchor on are a paragraph. Documents that s
    number of bands is the least with which a pair at the threshold meets with the wanted
    probability. Equal paragraphs of the documents handled together are sent once.
 2. Keys meet in one packed exchange. Equal paragraphs are one content; different ones with a band
-   in common are candidates, compared with the first of their band.
-3. Candidates' shingles are read from their documents' texts and compared by exact Jaccard.
+   in common are candidates, unless all of a key's overlap in one text.
+3. Candidates' shingles are read from their documents' texts. All contents of a key are compared
+   by exact Jaccard; those of keys with more than HOT contents by the exact join of
+   `jaccard_join`, whose work does not grow with the square of a key.
 4. Components of the contents are clusters of passages. A cluster's passages stay in the document
    with the smallest key and are removals in the others; paragraphs that overlap are one span.
 """
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .jaccard_join import _join, _overlaps
+from .jaccard_join import DEN, NUM, _again, _join, _links
 from .store import drop, keep
 from .words import Batch, groups_of, mix64, trim
 
@@ -34,6 +36,8 @@ SHINGLE = 5
 GROUP_CHARS, BUCKET_DOCS = 3_000_000, 512
 LEAST_BUCKETS, MOST_BUCKETS = 1 << 10, 1 << 18
 BITMAP_BITS = 24
+#: The most contents of a band key that are compared in one place.
+HOT = 256
 
 
 @dataclass(frozen=True)
@@ -52,7 +56,7 @@ class Options:
 _ROWS = "bucket long, gid long, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
 _NAMES = [c.split()[0] for c in _ROWS.split(", ")]
 _TYPES = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 6]
-#: kind 1: a paragraph of a content that occurs again; 3: a paragraph to be compared; 4: a pair of those.
+#: kind 1: a paragraph of a content that occurs again; 3: a paragraph to be compared; 4: one of those and its band key, or -1.
 _FOUND = "kind int, content long, wid long, wid2 long, did long, key long, hash long, begin long"
 _FOUND_NAMES = [c.split()[0] for c in _FOUND.split(", ")]
 
@@ -146,7 +150,7 @@ def _pack(o: Options, buckets: int):
             again = np.repeat(count > 1, count)
             out.append((buckets + gid % buckets, gid, 2, every[order][again].astype("<u8").tobytes(), at[order][again].astype("<u4").tobytes(), b"", b"", b"", b""))
         first = at[where]
-        place, short = first.astype("<u4"), (content & np.uint64(0xFFFF)).astype("<u2")
+        place = first.astype("<u4")
         sent: dict[int, list] = {}
         for band, key in enumerate(_bands(values, first, o)):
             order = np.argsort(key)
@@ -161,7 +165,7 @@ def _pack(o: Options, buckets: int):
                     row[0], row[1], row[2] = low[s].tobytes(), content[some].astype("<u8").tobytes(), place[some].tobytes()
                 else:
                     row[3] += low[s].tobytes()
-                    row[4] += short[some].tobytes()
+                    row[4] += content[some].astype("<u8").tobytes()
                     row[5] += place[some].tobytes()
         out += [(b, gid, 1, *row) for b, row in sent.items()]
         return _table(out, _TYPES, _NAMES)
@@ -170,7 +174,8 @@ def _pack(o: Options, buckets: int):
 
 
 def _meet(o: Options, buckets: int):
-    """Contents that other groups hold too, and pairs of different contents with a band in common."""
+    """Contents that other groups hold too, and the band keys that different contents share."""
+    most = HOT if o.threshold == NUM / DEN else np.inf
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -181,7 +186,7 @@ def _meet(o: Options, buckets: int):
         content, _ = _join(table.column("b"), "<u8")
         p0, _ = _join(table.column("c"), "<u4")
         k1, n1 = _join(table.column("d"), "<u4")
-        short, _ = _join(table.column("e"), "<u2")
+        content1, _ = _join(table.column("e"), "<u8")
         p1, _ = _join(table.column("f"), "<u4")
         g0, g1 = np.repeat(gid, n0), np.repeat(gid, n1)
         out = []
@@ -192,21 +197,26 @@ def _meet(o: Options, buckets: int):
             use = again & (g0 == g)
             out.append((bucket, g, 1, content[use].tobytes(), p0[use].tobytes(), b"", b"", b"", b""))
 
-        pairs = []
-        for key, mark, g, p in ((k0.astype(np.uint64), content, g0, p0), (k1.astype(np.uint64), short.astype(np.uint64), g1, p1)):
+        met = []
+        for key, mark, g, p in ((k0, content, g0, p0), (k1, content1, g1, p1)):
             order = np.lexsort((p, g, mark, key))
-            key, mark, g, p = key[order], mark[order], g[order], p[order]
-            new_key = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.empty(0, bool)
-            new = new_key | np.concatenate(([True], mark[1:] != mark[:-1])) if len(key) else new_key
-            leader = np.maximum.accumulate(np.where(new_key, np.arange(len(key)), 0))
+            key, mark, g, p = key[order].astype(np.int64), mark[order], g[order], p[order].astype(np.int64)
+            if not len(key):
+                continue
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (mark[1:] != mark[:-1])))
+            key, g, p = key[new], g[new], p[new]
+            order = np.lexsort((p, g, key))
+            key, g, p = key[order], g[order], p[order]
+            begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            count = np.diff(np.append(begin, len(key)))
+            first, last = np.repeat(begin, count), np.repeat(begin + count - 1, count)
             # paragraphs that overlap in one text are no news
-            beside = (g == g[leader]) & (np.abs(p.astype(np.int64) - p[leader].astype(np.int64)) < o.size)
-            other = np.flatnonzero(new & ~new_key & ~beside)
-            pairs.append(np.stack((g[leader[other]], p[leader[other]].astype(np.int64), g[other], p[other].astype(np.int64)), axis=1))
-        pair = np.unique(np.concatenate(pairs), axis=0)
-        if len(pair):
-            out.append((bucket, int(pair[0, 0]), 4, ((pair[:, 0] << 32) | pair[:, 1]).astype("<i8").tobytes(), ((pair[:, 2] << 32) | pair[:, 3]).astype("<i8").tobytes(), b"", b"", b"", b""))
-            asked = np.unique(np.concatenate((pair[:, :2], pair[:, 2:])), axis=0)
+            use = (g[first] != g[last]) | (p - p[first] >= o.size) | (p[last] - p >= o.size)
+            met.append(np.stack((np.where(count > most, -1, (bucket << 32) | key[begin]).repeat(count), g, p), axis=1)[use])
+        met = np.unique(np.concatenate(met), axis=0) if met else np.empty((0, 3), np.int64)
+        if len(met):
+            out.append((bucket, int(met[0, 1]), 4, ((met[:, 1] << 32) | met[:, 2]).astype("<i8").tobytes(), met[:, 0].astype("<i8").tobytes(), b"", b"", b"", b""))
+            asked = np.unique(met[:, 1:], axis=0)
             cut = np.append(np.flatnonzero(np.diff(asked[:, 0], prepend=-1)), len(asked))
             out += [(bucket, int(asked[a, 0]), 3, asked[a:b, 1].astype("<u4").tobytes(), b"", b"", b"", b"", b"") for a, b in zip(cut[:-1], cut[1:], strict=True)]
         return _table(out, _TYPES, _NAMES)
@@ -274,6 +284,43 @@ def _shingles(o: Options):
     return run
 
 
+def _near(o: Options):
+    """Links that connect, in each band key, all contents that pairs at the threshold connect."""
+
+    def run(table: pa.Table) -> pa.Table:
+        key, content, wid = (table.column(c).to_numpy() for c in ("band", "content", "wid"))
+        shared = table.column("shared").combine_chunks()
+        shared = shared.chunk(0) if isinstance(shared, pa.ChunkedArray) else shared
+        values, offsets = shared.values.to_numpy(), shared.offsets.to_numpy()
+        n = np.diff(offsets)
+        order = np.argsort(key, kind="stable")
+        begin = np.flatnonzero(np.diff(key[order], prepend=-1))
+        edges = [np.empty((0, 2), np.int64)]
+        for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(key)], strict=True):
+            some = order[lo:hi]
+            if len(some) < 2:
+                continue
+            tokens, at = np.unique(np.concatenate([values[offsets[i] : offsets[i + 1]] for i in some.tolist()]), return_inverse=True)
+            holds = np.zeros((len(some), len(tokens)), np.float32)
+            holds[np.repeat(np.arange(len(some)), n[some]), at] = 1
+            inter = holds @ holds.T
+            linked = inter >= o.threshold * (n[some][:, None] + n[some] - inter)
+            linked &= ((wid[some] >> 32)[:, None] != wid[some] >> 32) | (np.abs(wid[some][:, None] - wid[some]) >= o.size)
+            np.fill_diagonal(linked, True)
+            label = np.arange(len(some))
+            while True:
+                least = np.where(linked, label, len(some)).min(axis=1)
+                if (least == label).all():
+                    break
+                label = least
+            other = np.flatnonzero(label != np.arange(len(some)))
+            edges.append(np.stack((content[some][label[other]], content[some][other]), axis=1))
+        found = np.unique(np.concatenate(edges), axis=0)
+        return pa.Table.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    return run
+
+
 def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body: str = "text") -> DataFrame:
     """One row per span of a document whose passages occur in other documents: key, begin and end
     (words of the text, end exclusive), cluster (the smallest of the span's clusters), removed
@@ -302,12 +349,19 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     shingles = wanted.join(texts, wanted["hash"] == texts["h"]).select("asked", "t").mapInArrow(_shingles(o), "wid long, content long, n long, shared array<long>")
     shingles, shingles_at = keep(shingles, "shingles")
 
-    pairs = found.filter("kind = 4").select("wid", "wid2").distinct()
-    left = shingles.select("wid", F.col("content").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
-    right = shingles.select(F.col("wid").alias("wid2"), F.col("content").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
-    both = pairs.join(right, "wid2").join(left, "wid").filter("a <> b").select("a", "b", "na", "nb", "sa", "sb")
-    verified = both.mapInArrow(_overlaps, "a long, b long, na long, nb long, inter long, ea long, eb long").filter(F.col("inter") >= o.threshold * (F.col("na") + F.col("nb") - F.col("inter")))
-    edges, edges_at = keep(verified.select("a", "b").distinct(), "edges")
+    banded = found.filter("kind = 4").select("wid", F.col("wid2").alias("band")).distinct()
+    cold = banded.filter("band >= 0").join(shingles, "wid").select(F.expr("band >> 32").alias("bucket"), "band", "wid", "content", "shared")
+    near = cold.groupBy("bucket").applyInArrow(_near(o), "a long, b long")
+    edges, edges_at = keep(near.filter("a <> b").distinct(), "edges")
+    edges_at = [edges_at]
+    hot = banded.filter("band < 0")
+    if hot.limit(1).count():
+        hot = hot.join(shingles, "wid").dropDuplicates(["content"])
+        rows = [F.array_min(F.transform("shared", lambda x, k=k: F.xxhash64(x, F.lit(k)))).alias(f"m{k}") for k in (1, 2, 3, 4)]
+        dense, dense_at = keep(hot.select(F.col("content").alias("rid"), "n", *rows, "shared"), "dense")
+        links, links_at = _links(*_again(dense))
+        edges = edges.union(links)
+        edges_at += [dense_at, *links_at]
     labels, labels_at = keep(components(edges), "labels")
 
     # every paragraph of a content that occurs again or belongs to a component
@@ -326,5 +380,5 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     placed = placed.withColumn("span", F.sum(F.coalesce(fresh.cast("int"), F.lit(1))).over(order))
     out = placed.groupBy("did", "key", "span").agg(F.min("begin").alias("begin"), (F.max("begin") + o.size).alias("end"), F.min("cluster").alias("cluster"), F.first("removed").alias("removed"))
     out, _ = keep(out.select(F.col("key").alias(key), "begin", "end", "cluster", "removed", F.col("did").alias("__doc")), "spans")
-    drop(spark, found_at, texts_at, shingles_at, edges_at, labels_at, member_at, named_at, cluster_at)
+    drop(spark, found_at, texts_at, shingles_at, *edges_at, labels_at, member_at, named_at, cluster_at)
     return out

@@ -262,6 +262,36 @@ def test_passages(spark, odd, none):
     assert passages.repeated(odd).count() == 0 and passages.repeated(none).count() == 0
 
 
+def passage_links(rows, o):
+    """Pairs of documents with a pair of paragraphs in one band key and at the threshold."""
+    batch, values, at = passages.paragraphs([t for _, t in rows], o)
+    sets = [frozenset(values[p : p + o.size - 4].tolist()) for p in at.tolist()]
+    owner = [rows[d][0] for d in batch.doc[at].tolist()]
+    out = set()
+    for key in passages._bands(values, at, o):
+        by = defaultdict(list)
+        for i, k in enumerate(key.tolist()):
+            by[k].append(i)
+        out |= {(owner[i], owner[j]) for v in by.values() for i in v for j in v if owner[i] < owner[j] and len(sets[i] & sets[j]) >= o.threshold * len(sets[i] | sets[j])}
+    return out
+
+
+@pytest.mark.parametrize("hot", [256, 3])
+def test_passages_of_a_key_are_all_compared(spark, monkeypatch, hot):
+    monkeypatch.setattr(passages, "HOT", hot)
+    r, rows = random.Random(15), []
+    for f in range(200):  # one pair that links, and ten others that meet it but do not link
+        for edits in [(), (25,), *[(r.randrange(6, 16), r.randrange(34, 46)) for _ in range(10)]]:
+            rows.append((len(rows), " ".join(f"f{f}u{i}" if i not in edits else f"f{f}e{len(rows)}p{i}" for i in range(51))))
+    batch, _, at = passages.paragraphs([t for _, t in rows], passages.Options())
+    rows = [row for row, n in zip(rows, np.bincount(batch.doc[at], minlength=len(rows)), strict=True) if n == 1]
+    expect = passage_links(rows, passages.Options())
+    out = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).toPandas()
+    held = out.groupby("doc_id").cluster.agg(set).to_dict()
+    assert len(expect) > 20 and not {k for pair in expect for k in pair} - set(held)
+    assert not [pair for pair in expect if not held[pair[0]] & held[pair[1]]]
+
+
 # decontamination
 
 
