@@ -3,7 +3,9 @@
 1. The benchmark items' word seeds (runs of `seed` words) are hashed. A bitmap of fixed size
    lets each document drop, where it is read, the seeds that no item has.
 2. The seeds left in a document are joined with the items' seeds; salted item rows keep a seed
-   that very many documents share from meeting in one task.
+   that very many documents share from meeting in one task. A seed is no longer than the least
+   tile, so every tile holds one; pairs whose shared seeds cannot cover enough of the item, even
+   if all of them were in tiles and none overlapped, are dropped.
 3. For each document and each item that it shares a seed with, greedy string tiling marks, again
    and again, the longest match of words not yet marked on either side, found by running
    Karp-Rabin: hashes of the search length are rolled over the unmarked words, and the length
@@ -34,15 +36,19 @@ GROUP_CHARS = 4_000_000
 
 @dataclass(frozen=True)
 class Options:
-    """seed: words of a seed; tile: least words of a tile; cover: least share of an item's words
+    """seed: words of a seed, no more than tile; tile: least words of a tile; cover: least share of an item's words
     in tiles; bits: size of the seed bitmap, as a power of two; salts: copies of an item seed."""
 
-    seed: int = 6
+    seed: int = 4
     tile: int = 4
     cover: float = 0.5
     bits: int = 23
     salts: int = 16
 
+    def __post_init__(self):
+        if self.seed > self.tile:
+            raise ValueError("a seed longer than the least tile misses tiles")
+
 
 def normal(text: str | None) -> list[bytes]:
     """Folded words without signs at their ends; a word of signs alone is dropped."""
@@ -157,7 +163,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, o: Options = Options(), key: st
 
 def _found(docs: DataFrame, benchmark: DataFrame, o: Options, body: str, item: str) -> DataFrame:
     spark = docs.sparkSession
-    seeds, seeds_at = keep(benchmark.select(benchmark[item].alias("item"), benchmark[body].alias("t")).mapInArrow(_item_seeds(o), "item long, seed long, size int, words binary"), "items")
+    seeds, seeds_at = keep(benchmark.select(benchmark[item].alias("item"), benchmark[body].alias("t")).mapInArrow(_item_seeds(o), "item long, seed long, size int, times int, total int, words binary"), "items")
     bitmap = np.zeros(1 << o.bits, bool)
     set_bits = seeds.filter("seed is not null").select(F.expr(f"seed & {(1 << o.bits) - 1}").alias("b")).distinct()
     # the bitmap's size is fixed, however many seeds there are
@@ -169,8 +175,10 @@ def _found(docs: DataFrame, benchmark: DataFrame, o: Options, body: str, item: s
 
     salt = F.pmod("row", F.lit(o.salts)).alias("salt")
     wanted = hits.select("row", salt, F.explode("seeds").alias("seed"))
-    salted = seeds.filter("seed is not null").select("item", "seed", F.explode(F.expr(f"sequence(0L, {o.salts - 1}L)")).alias("salt"))
-    pairs = wanted.join(salted, ["seed", "salt"]).select("row", "item").distinct()
+    salted = seeds.filter("seed is not null").select("item", "seed", (F.col("size") * F.col("times")).alias("most"), "total", F.explode(F.expr(f"sequence(0L, {o.salts - 1}L)")).alias("salt"))
+    # an upper bound of the coverage
+    bound = wanted.join(salted, ["seed", "salt"]).groupBy("row", "item").agg(F.sum("most").alias("most"), F.min("total").alias("total"))
+    pairs = bound.filter(F.col("most") / F.col("total") >= o.cover).select("row", "item")
     pairs, pairs_at = keep(pairs, "seed-pairs")
     items = seeds.filter("words is not null").select("item", F.col("words").alias("item_words"))
     both = pairs.join(hits.select("row", "k", "digest", "words"), "row").join(items, "item")
@@ -187,10 +195,11 @@ def _item_seeds(o: Options):
             for i, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
                 h = hashes(normal(t))
                 if len(h) and i is not None:
-                    out.append((i, None, None, h.astype("<u8").tobytes()))
-                    out += [(i, s, min(o.seed, len(h)), None) for s in np.unique(windows(h, o.seed).astype(np.int64)).tolist()]
-            columns = list(zip(*out, strict=True)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["item", "seed", "size", "words"])
+                    out.append((i, None, None, None, None, h.astype("<u8").tobytes()))
+                    found, times = np.unique(windows(h, o.seed).astype(np.int64), return_counts=True)
+                    out += [(i, s, min(o.seed, len(h)), n, len(h), None) for s, n in zip(found.tolist(), times.tolist(), strict=True)]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["item", "seed", "size", "times", "total", "words"])
 
     return run
 

@@ -336,6 +336,21 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.contaminated(frame, bench.limit(0)).count() == 0 and decontaminate.clean(odd, bench).columns == odd.columns
 
 
+def test_decontamination_of_short_tiles(spark):
+    r = random.Random(16)
+    item = [f"i{k}" for k in range(40)]
+    pieces = [item[k : k + 5] for k in range(0, 40, 5)]
+    r.shuffle(pieces)
+    changed = [w if k % 5 else f"x{k}" for k, w in enumerate(item)]
+    rows = [(0, [w for piece in pieces for w in [*piece, f"y{piece[0]}"]]), (1, changed), (2, item[:4] + ["z"] + item[10:14]), (3, [w for w in item for _ in (0, 1)])]
+    frame = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    found = {x.doc_id: x.coverage for x in decontaminate.contaminated(frame, bench).collect()}
+    assert found == {k: naive_tiles(w, item, 4) / 40 for k, w in rows if naive_tiles(w, item, 4) >= 20} and set(found) == {0, 1}
+    with pytest.raises(ValueError):
+        decontaminate.Options(seed=6)
+
+
 # token files
 
 
