@@ -34,3 +34,10 @@ def overlap(a: Column, b: Column, c: Column, d: Column) -> Column:
         .when(right_point, (a <= c) & (c <= b))
         .otherwise(F.greatest(a, c) < F.least(b, d))
     )
+
+
+def spans_meet(a: int, b: int, c: int, d: int) -> bool:
+    """overlap() on plain numbers, for rules that follow an order."""
+    if a == b:
+        return a == c if c == d else c <= a <= d
+    return a <= c <= b if c == d else max(a, c) < min(b, d)

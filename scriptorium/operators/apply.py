@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..conf import EDIT_TYPES
-from ..functions.offsets import utf16_length, utf16_slice
+from ..functions.offsets import utf16, utf16_length, utf16_slice
+from ..functions.spans import computed
 
 
 def check(patch: DataFrame, units: DataFrame) -> DataFrame:
@@ -29,15 +30,14 @@ def apply_text(log: DataFrame) -> DataFrame:
     """Units with applied edits: text before and after. Edits of a unit don't collide, so the new
     text is the gaps between them and their payloads, put together in ascending order."""
     edits = log.filter((F.col("status") == "applied") & F.col("type").isin(*EDIT_TYPES))
-    w = Window.partitionBy("doc_id", "part", "para_id").orderBy("range_start", "range_end")
     put = F.when(F.col("type") == "replace_range", F.coalesce("replacement", F.lit(""))).when(F.col("type") == "insert_at", F.coalesce("new_text", F.lit(""))).otherwise("")
-    pieces = edits.withColumns({"gap": utf16_slice(F.col("unit_text"), F.coalesce(F.lag("range_end").over(w), F.lit(0)), F.col("range_start")), "put": put})
-    done = pieces.groupBy("doc_id", "part", "para_id").agg(
-        F.first("unit_text").alias("before_text"), F.max("range_end").alias("__end"), F.count("*").alias("edits"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("range_start", "range_end", F.concat("gap", "put").alias("t")))), lambda x: x["t"]), "").alias("__head"),
-    )
-    tail = utf16_slice(F.col("before_text"), F.col("__end"), utf16_length(F.col("before_text")))
-    return done.select("doc_id", "part", "para_id", "edits", "before_text", F.concat("__head", tail).alias("after_text"))
+    done = edits.groupBy("doc_id", "part", "para_id").agg(F.first("unit_text").alias("before_text"), F.count("*").alias("edits"), F.array_sort(F.collect_list(F.struct("range_start", "range_end", put.alias("put")))).alias("__e"))
+    done = computed(done, "__u", utf16(F.col("before_text")))  # encoded once for all gaps
+    gap = lambda a, b: F.decode(F.substring(F.col("__u"), 2 * a + 1, 2 * (b - a)), "UTF-16LE")
+    before = lambda i: F.coalesce(F.get(F.col("__e"), i - 1)["range_end"], F.lit(0))
+    head = F.array_join(F.transform("__e", lambda x, i: F.concat(gap(before(i), x["range_start"]), x["put"])), "")
+    tail = gap(before(F.size("__e")), utf16_length(F.col("before_text")))
+    return done.select("doc_id", "part", "para_id", "edits", "before_text", F.concat(head, tail).alias("after_text"))
 
 
 def stats(log: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..conf import Budget
 
@@ -13,25 +15,35 @@ def token_estimate(text: Column) -> Column:
 
 
 def chunk_name(index: Column) -> Column:
-    return F.concat(F.lit("chunk_"), F.lpad((index + 1).cast("string"), 4, "0"))
+    """chunk_0001 and so on; numbers of more than four digits stay whole."""
+    number = (index + 1).cast("string")
+    return F.concat(F.lit("chunk_"), F.when(index < 9999, F.lpad(number, 4, "0")).otherwise(number))
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _greedy(sizes: pd.Series, target: pd.Series) -> pd.Series:
+    """The chunk of each size, in order: a size that takes the running sum over the target opens one."""
+
+    def one(tokens, most: int) -> list[int]:
+        out, chunk, total = [], -1, 0
+        for n in tokens.tolist():
+            total += n
+            if chunk < 0 or total > most:
+                chunk, total = chunk + 1, n
+            out.append(chunk)
+        return out
+
+    return pd.Series([one(t, m) for t, m in zip(sizes, target, strict=True)], dtype=object)
 
 
 def pack(units: DataFrame, budget: Budget) -> DataFrame:
     """units with token_estimate and chunk_index. A unit opens a new chunk if it would take the
-    running sum over the target. Packing has to follow the order, so a document is one fold; only
-    its sizes, not its texts, are gathered for it."""
+    running sum over the target. Packing has to follow the order, so a document is one fold, done
+    in Arrow batches of many documents; only sizes, not texts, are gathered for it."""
     sized = units.withColumn("token_estimate", token_estimate(F.col("accepted_text")))
-    state = F.struct(F.lit(-1).alias("chunk"), F.lit(0).alias("sum"), F.array().cast("array<struct<order_index: int, chunk_index: int>>").alias("out"))
-
-    def step(acc, u):
-        opens = (acc["chunk"] < 0) | (acc["sum"] + u["token_estimate"] > budget.target)
-        chunk = acc["chunk"] + opens.cast("int")
-        total = F.when(opens, u["token_estimate"]).otherwise(acc["sum"] + u["token_estimate"])
-        entry = F.struct(u["order_index"].cast("int").alias("order_index"), chunk.alias("chunk_index"))
-        return F.struct(chunk.alias("chunk"), total.alias("sum"), F.concat(acc["out"], F.array(entry)).alias("out"))
-
-    sizes = F.array_sort(F.collect_list(F.struct("order_index", "token_estimate")))
-    numbers = sized.groupBy("doc_id").agg(F.aggregate(sizes, state, step, lambda acc: acc["out"]).alias("out")).select("doc_id", F.inline("out"))
+    # sizes are made from the units again, not read back from a shuffle with their texts
+    sizes = sized.select("doc_id", "order_index", "token_estimate").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("order_index", "token_estimate"))).alias("u"))
+    numbers = sizes.select("doc_id", F.inline(F.arrays_zip(F.col("u.order_index").alias("order_index"), _greedy(F.col("u.token_estimate"), F.lit(budget.target)).alias("chunk_index"))))
     return sized.join(numbers, ["doc_id", "order_index"])
 
 

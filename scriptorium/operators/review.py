@@ -1,28 +1,29 @@
-"""The deterministic reviewer: proposals made from the texts alone, without a language model."""
+"""The deterministic reviewer: proposals made from the texts alone, without a language model.
 
-from __future__ import annotations
+A reviewer is a function of units, and this one runs as Arrow batches: counting a text's words and
+building its proposals as nested column expressions made methods too large for the JVM to compile
+and took about ten times as long.
+"""
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from __future__ import annotations
 
-from ..conf import DRY_RUN_COMMENT, DRY_RUN_INSERT, WORD
-from ..functions.offsets import utf16_offset
-from ..functions.spans import computed, spans
-from ..functions.text import quote, shout
+import hashlib
+import re
+from collections import Counter
+from collections.abc import Iterator
 
-OP = (
-    "struct<type: string, part: string, para_id: string, unit_uid: string, quoted_text: string, range_start: int, range_end: int, "
-    "snippet: string, replacement: string, new_text: string, comment_text: string>"
-)
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..conf import DRY_RUN_COMMENT, DRY_RUN_INSERT, QUOTE_CONTEXT, WORD
 
-def with_unique_words(units: DataFrame, name: str) -> DataFrame:
-    """units with the words that occur once in their text, with code point offsets. The steps are
-    columns of their own, so each is computed once; repeated words are neighbours when sorted."""
-    found = computed(units, "__w", spans(F.col("accepted_text"), WORD, units=False))
-    found = computed(found, "__v", F.array_sort(F.transform("__w", lambda x: x["value"])))
-    found = computed(found, "__d", F.filter("__v", lambda v, i: (i > 0) & (v == F.get(F.col("__v"), i - 1))))
-    return computed(found, name, F.filter("__w", lambda x: ~F.array_contains(F.col("__d"), x["value"]))).drop("__w", "__v", "__d")
+FIELDS = ("type", "part", "para_id", "unit_uid", "quoted_text", "range_start", "range_end", "snippet", "replacement", "new_text", "comment_text")
+_OP = ", ".join(f"{f} {'int' if f.startswith('range') else 'string'}" for f in FIELDS)
+OPS = f"doc_id long, chunk_id string, op_index int, {_OP}"
+PROPOSALS = f"doc_id long, chunk_index int, order_index int, k int, {_OP}"
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+UNIT = ("doc_id", "chunk_index", "order_index", "accepted_text", "part", "para_id", "unit_uid")
 
 
 def word_frequency(units: DataFrame) -> DataFrame:
@@ -31,73 +32,134 @@ def word_frequency(units: DataFrame) -> DataFrame:
     return words.groupBy("doc_id", "word").agg(F.count("*").alias("n")).filter("n = 1").select("doc_id", "word")
 
 
-def _op(kind: str, text: Column, start: Column, end: Column, quoted: Column, **payload: Column) -> Column:
-    """An op on [start, end) in code points, with its range in code units."""
-    none = F.lit(None).cast("string")
-    snippet = F.substring(text, (start + 1).cast("int"), (end - start).cast("int"))
-    values = {
-        "type": F.lit(kind), "part": F.col("part"), "para_id": F.col("para_id"), "unit_uid": F.col("unit_uid"), "quoted_text": quoted,
-        "range_start": utf16_offset(text, start), "range_end": utf16_offset(text, end), "snippet": snippet, "replacement": none, "new_text": none, "comment_text": none,
-    } | payload
-    return F.struct(*[v.alias(k) for k, v in values.items()]).cast(OP)
+_word = re.compile(WORD)
+
+
+def first_unique(text: str, most: int = 4) -> list[tuple[int, int]]:
+    """The places of the first words that occur once in the text."""
+    found = list(_word.finditer(text))
+    counts = Counter(m.group() for m in found)
+    return [m.span() for m in found if counts[m.group()] == 1][:most]
+
+
+class _Unit:
+    """A unit's text and target, with the ops that can be made on it."""
+
+    def __init__(self, text: str, target: tuple):
+        self.text, self.target = text, target
+        self.plain = text.isascii() or max(text) <= "￿"
+
+    def units(self, at: int) -> int:
+        return at if self.plain else len(self.text[:at].encode("utf-16-le", "surrogatepass")) // 2
+
+    def quote(self, start: int, end: int) -> str:
+        t = self.text
+        return f"{t[max(0, start - QUOTE_CONTEXT) : start]}[[{t[start:end]}]]{t[end : end + QUOTE_CONTEXT]}"
+
+    def op(self, kind: str, start: int, end: int, quoted: str | None = None, **other) -> tuple:
+        """Values of FIELDS for an op on [start, end) in code points."""
+        values = dict(zip(FIELDS, (kind, *self.target, quoted, self.units(start), self.units(end), self.text[start:end], None, None, None), strict=True))
+        return tuple((values | other).values())
+
+    def proposals(self, four: list[tuple[int, int]]) -> list[tuple]:
+        comment, change, insert, delete = four
+        word, at = self.text[slice(*change)], insert[1]
+        loud = word.upper()
+        return [
+            self.op("replace_range", *change, self.quote(*change), replacement=f"{word}_DRYRUN" if loud == word else loud),
+            self.op("insert_at", at, at, f"{self.text[max(0, at - 20) : at]}[[ ]]{self.text[at : at + 20]}", new_text=DRY_RUN_INSERT),
+            self.op("replace_range", *delete, self.quote(*delete), replacement=""),
+            self.op("add_comment", *comment, self.quote(*comment), comment_text=DRY_RUN_COMMENT),
+        ]
+
+    def trouble(self, four: list[tuple[int, int]], first: tuple, before: tuple) -> tuple:
+        """An op that the later stages have to handle; which one follows from a hash of the unit."""
+        a, b = four[0], four[1]
+        nowhere = {"range_start": None, "range_end": None}
+        match int(hashlib.sha256((self.target[2] or "").encode()).hexdigest()[:8], 16) % 12:
+            case 0:  # a duplicate
+                return first
+            case 1:  # an overlap
+                return self.op("replace_range", b[0] + 1, b[1] + 1, replacement="XXXX")
+            case 2:
+                return self.op("replace_range", *a, replacement="FIRST", unit_uid=None)
+            case 3:
+                return self.op("replace_range", *a, replacement="FILLED", **nowhere)
+            case 4:
+                return self.op("replace_range", *a, replacement="E", snippet="e", **nowhere)
+            case 5:
+                return self.op("replace_range", *a, replacement="E", snippet="NOT_FOUND", **nowhere)
+            case 6:  # the unit before, which may belong to another chunk
+                return self.op("add_comment", 0, 0, comment_text="context", **dict(zip(("part", "para_id", "unit_uid"), before, strict=True)))
+            case 7:
+                return self.op("unknown_type", *a)
+            case 8:
+                return self.op("add_comment", *a, comment_text="  ")
+            case 9:
+                return self.op("insert_at", *a, new_text="x")
+            case 10:
+                return self.op("replace_range", *a)
+            case _:
+                return self.op("insert_at", a[0], a[0], new_text="")
+
+
+def _rows(batch: pa.RecordBatch):
+    return zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in UNIT], strict=True)
+
+
+def _batch(rows: list, ddl: str) -> pa.RecordBatch:
+    names, kinds = zip(*[f.split() for f in ddl.split(", ")], strict=True)
+    columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[k]) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 def dry_run(packed: DataFrame) -> DataFrame:
     """Four proposals for every unit with four words that occur once in it: a comment on the
     first, a replacement of the second, an insertion after the third and a deletion of the fourth.
-    Words don't touch, so these never collide. Adds k (the proposal's number in its unit)."""
-    text = F.col("accepted_text")
-    four = with_unique_words(packed, "__u").filter(F.size("__u") > 3)
-    four = computed(four, "w", F.slice("__u", 1, 4)).drop("__u")
-    at = lambda i, f: F.col("w")[i][f]
-    whole = lambda i: (text, at(i, "start"), at(i, "end"), quote(text, at(i, "start"), at(i, "end")))
-    point = at(2, "end")
-    low = F.greatest(F.lit(0), point - 20)
-    gap = F.concat(F.substring(text, low + 1, point - low), F.lit("[[ ]]"), F.substring(text, point + 1, F.lit(20)))
-    ops = F.array(
-        _op("replace_range", *whole(1), replacement=shout(at(1, "value"))),
-        _op("insert_at", text, point, point, gap, new_text=F.lit(DRY_RUN_INSERT)),
-        _op("replace_range", *whole(3), replacement=F.lit("")),
-        _op("add_comment", *whole(0), comment_text=F.lit(DRY_RUN_COMMENT)),
-    )
-    return four.select("doc_id", "chunk_index", "order_index", "accepted_text", "w", "part", "para_id", "unit_uid", F.posexplode(ops).alias("k", "op"))
-
-
-def first_result(ops: DataFrame) -> DataFrame:
+    Words don't touch, so these never collide. k is the proposal's number in its unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, chunk, order, text, *target in _rows(batch):
+                four = first_unique(text)
+                if len(four) == 4:
+                    out += [(doc, chunk, order, k, *op) for k, op in enumerate(_Unit(text, target).proposals(four))]
+            yield _batch(out, PROPOSALS)
+
+    return packed.select(*UNIT).mapInArrow(run, PROPOSALS)
+
+
+def first_result(proposals: DataFrame) -> DataFrame:
     """The proposals of each document's first unit that has any."""
-    first = ops.groupBy("doc_id").agg(F.min(F.struct("chunk_index", "order_index")).alias("first"))
-    return ops.join(first, "doc_id").filter((F.col("chunk_index") == F.col("first.chunk_index")) & (F.col("order_index") == F.col("first.order_index"))).drop("first")
-
-
-def disturbed(packed: DataFrame, proposals: DataFrame) -> DataFrame:
-    """The proposals and, for each unit, one that the later stages have to handle: a duplicate, an
-    overlap, a missing unit, a missing range, a wrong target, kind or payload. Which one follows
-    from a hash of the unit, so every engine makes the same."""
-    base = proposals.filter("k = 0")
-    number = F.conv(F.substring(F.sha2("unit_uid", 256), 1, 8), 16, 10).cast("long") % 12
-    before = packed.select("doc_id", (F.col("order_index") + 1).alias("order_index"), F.struct("part", "para_id", "unit_uid").alias("before"))
-    base = base.join(before, ["doc_id", "order_index"], "left").withColumn("h", number)
-    text, w = F.col("accepted_text"), F.col("w")
-    first = (text, w[0]["start"], w[0]["end"], F.lit(None).cast("string"))
-    nowhere = {"range_start": F.lit(None).cast("int"), "range_end": F.lit(None).cast("int")}
-    extra = {
-        0: F.col("op"),
-        1: _op("replace_range", text, w[1]["start"] + 1, w[1]["end"] + 1, F.lit(None).cast("string"), replacement=F.lit("XXXX")),
-        2: _op("replace_range", *first, replacement=F.lit("FIRST"), unit_uid=F.lit(None).cast("string")),
-        3: _op("replace_range", *first, replacement=F.lit("FILLED"), **nowhere),
-        4: _op("replace_range", *first, replacement=F.lit("E"), snippet=F.lit("e"), **nowhere),
-        5: _op("replace_range", *first, replacement=F.lit("E"), snippet=F.lit("NOT_FOUND"), **nowhere),
-        6: _op("add_comment", text, F.lit(0), F.lit(0), F.lit(None).cast("string"), comment_text=F.lit("context"), **{c: F.col("before")[c] for c in ("part", "para_id", "unit_uid")}),
-        7: _op("unknown_type", *first),
-        8: _op("add_comment", *first, comment_text=F.lit("  ")),
-        9: _op("insert_at", *first, new_text=F.lit("x")),
-        10: _op("replace_range", *first),
-        11: _op("insert_at", text, w[0]["start"], w[0]["start"], F.lit(None).cast("string"), new_text=F.lit("")),
-    }
-    choice = F.coalesce(*[F.when(F.col("h") == h, op) for h, op in extra.items()])
-    more = base.select("doc_id", "chunk_index", "order_index", F.lit(4).alias("k"), choice.alias("op"))
-    ops = proposals.select("doc_id", "chunk_index", "order_index", "k", "op").unionByName(more)
-    index = F.row_number().over(Window.partitionBy("doc_id", "chunk_index").orderBy("order_index", "k")) - 1
-    from .chunk import chunk_name
-
-    return ops.select("doc_id", chunk_name(F.col("chunk_index")).alias("chunk_id"), index.alias("op_index"), "op.*")
+    first = proposals.groupBy("doc_id").agg(F.min("order_index").alias("order_index"))
+    return proposals.join(first, ["doc_id", "order_index"])
+
+
+def disturbed(packed: DataFrame) -> DataFrame:
+    """The dry run's proposals and, for each unit, one that the later stages have to handle: a
+    duplicate, an overlap, a missing unit, a missing range, a wrong target, kind or payload.
+
+    Units come in order of their documents, so op_index and the unit before are known without a
+    window or a join: one exchange and one sort."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, before, chunk_now, index = None, (None, None, None), None, 0
+        for batch in batches:
+            out = []
+            for doc, chunk, order, text, *target in _rows(batch):
+                if last != (doc, order - 1):
+                    before = (None, None, None)
+                if chunk_now != (doc, chunk):
+                    chunk_now, index = (doc, chunk), 0
+                four = first_unique(text)
+                if len(four) == 4:
+                    unit = _Unit(text, target)
+                    ops = unit.proposals(four)
+                    ops.append(unit.trouble(four, ops[0], before))
+                    out += [(doc, f"chunk_{chunk + 1:04d}", index + k, *op) for k, op in enumerate(ops)]
+                    index += len(ops)
+                last, before = (doc, order), tuple(target)
+            yield _batch(out, OPS)
+
+    return packed.select(*UNIT).repartition("doc_id").sortWithinPartitions("doc_id", "order_index").mapInArrow(run, OPS)

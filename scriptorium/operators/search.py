@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.offsets import utf16_offset
-from ..functions.spans import literal_pattern, may_match_empty, python_spans, spans
+from ..functions.spans import computed, literal_pattern, may_match_empty, python_spans, with_spans
 
+ASTRAL = r"[\x{10000}-\x{10FFFF}]"
 KEYS = ("doc_id", "part", "para_id", "unit_uid", "order_index")
 
 
@@ -24,10 +25,12 @@ def search(units: DataFrame, query: str, regex: bool = False, ignore_case: bool
         hit = hit.withColumn("at", F.length(before))
     else:
         pattern = (("(?iu)" if ignore_case else "") + query) if regex else literal_pattern(query, ignore_case)
-        some = units.filter(F.col("accepted_text").rlike(pattern))
-        points = some.select(*KEYS, "accepted_text", F.explode(spans(F.col("accepted_text"), pattern, units=False)).alias("p"))
-        start, end = utf16_offset(F.col("accepted_text"), F.col("p.start")), utf16_offset(F.col("accepted_text"), F.col("p.end"))
-        hit = points.select(*KEYS, "accepted_text", F.struct(start.alias("start"), end.alias("end"), F.col("p.value").alias("value")).alias("m"), F.col("p.start").alias("at"))
+        some = units.filter(F.col("accepted_text").rlike(pattern)).select(*KEYS, "accepted_text")
+        # only texts with characters beyond the basic plane have other offsets in code units
+        some = computed(some, "astral", F.col("accepted_text").rlike(ASTRAL))
+        points = with_spans(some, "found", F.col("accepted_text"), pattern).select(*KEYS, "accepted_text", "astral", F.explode("found").alias("p"))
+        unit = lambda at: F.when(F.col("astral"), utf16_offset(F.col("accepted_text"), at)).otherwise(at)
+        hit = points.select(*KEYS, "accepted_text", F.struct(unit(F.col("p.start")).alias("start"), unit(F.col("p.end")).alias("end"), F.col("p.value").alias("value")).alias("m"), F.col("p.start").alias("at"))
     low = F.greatest(F.lit(0), F.col("at") - snippet_chars)
     snippet = F.substring("accepted_text", low + 1, F.col("at") + F.length("m.value") + snippet_chars - low)
     return hit.select(*KEYS, F.col("m.start").alias("start"), F.col("m.end").alias("end"), F.col("m.value").alias("match_text"), snippet.alias("snippet"))
@@ -40,5 +43,5 @@ def ordered(hits: DataFrame) -> DataFrame:
 def summary(units: DataFrame, hits: DataFrame) -> DataFrame:
     """One row: units searched, hits and units with a hit."""
     every = units.agg(F.count("*").alias("unit_count"))
-    found = hits.groupBy("part", "para_id", "unit_uid").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("hit_count"), F.count("*").alias("hit_unit_count"))
+    found = hits.groupBy("doc_id", "part", "para_id", "unit_uid").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("hit_count"), F.count("*").alias("hit_unit_count"))
     return every.crossJoin(F.broadcast(found))  # one row each

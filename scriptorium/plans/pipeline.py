@@ -53,7 +53,7 @@ class Pipeline:
 
     def _review(self, _):
         packed = self.load("chunk").filter("role = 'primary'").drop("role", "editable", "pos", "chunk_id")
-        raw = self.reviewer(packed) if self.reviewer else review.disturbed(packed, review.dry_run(packed))
+        raw = self.reviewer(packed) if self.reviewer else review.disturbed(packed)
         return raw.select(*raw.columns)
 
     def _merge(self, _):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,34 +13,60 @@ from ..functions.offsets import utf16_length
 from ..functions.text import quote
 from ..operators import apply, chunk, merge, overrides, report, review, sanitize, search, vote
 from ..sources import units as sources
+from ..tables import keep
 
 LITERAL, REGEX = "the", "[Tt]h[ae]t?[a-z]{1,3}"
 RUNS = 3
 
 
 class Stages:
-    """The stages over documents, each built when it is asked for."""
+    """The stages over documents. A stage that others read several times is written once, as a
+    table in the shared folder; the others are plans."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
         self.units = sources.document_units(self.docs)
 
-    @property
-    def packed(self) -> DataFrame:
+    @cached_property
+    def plan(self) -> DataFrame:
+        """The packed units, not written, for queries that read them once."""
         return chunk.pack(self.units, QUERY_BUDGET)
 
+    @cached_property
+    def packed(self) -> DataFrame:
+        return keep(self.plan, "packed")[0]
+
     @property
     def members(self) -> DataFrame:
         return chunk.chunk_units(self.packed, QUERY_BUDGET)
 
     @property
+    def raw(self) -> DataFrame:
+        return review.disturbed(self.packed)
+
+    @cached_property
     def ops(self) -> DataFrame:
-        packed = self.packed
-        return review.disturbed(packed, review.dry_run(packed))
+        return keep(self.raw, "ops")[0]
+
+    @property
+    def owned(self) -> DataFrame:
+        return merge.own(self.ops if "ops" in self.__dict__ else self.raw, self.members)
+
+    @property
+    def resolved(self) -> DataFrame:
+        return merge.resolve(keep(self.owned, "owned")[0], self.packed)
+
+    @property
+    def deduped(self) -> DataFrame:
+        return merge.dedup(self.resolved)
 
     @property
+    def downgraded(self) -> DataFrame:
+        return merge.downgrade(keep(self.deduped, "deduped")[0])
+
+    @cached_property
     def patch(self) -> DataFrame:
-        return merge.merge(self.ops, self.members, self.units)
+        return keep(merge.order(self.downgraded), "patch")[0]
 
     @property
     def final(self) -> DataFrame:
@@ -46,7 +74,7 @@ class Stages:
 
     @property
     def log(self) -> DataFrame:
-        return apply.check(spoiled(self.patch), self.units)
+        return apply.check(spoiled(self.patch), self.packed)
 
     @staticmethod
     def actions(patch: DataFrame) -> DataFrame:
@@ -120,7 +148,7 @@ def word_unique(spark, d):
 
 
 def chunk_pack(spark, d):
-    return Stages(spark, d).packed.select("doc_id", "order_index", "token_estimate", "chunk_index")
+    return Stages(spark, d).plan.select("doc_id", "order_index", "token_estimate", "chunk_index")
 
 
 def chunk_context(spark, d):
@@ -164,18 +192,18 @@ OP = ("doc_id", "chunk_id", "op_index", "type", "part", "para_id", "unit_uid", "
 
 
 def synth_ops(spark, d):
-    return Stages(spark, d).ops.select(*OP)
+    return Stages(spark, d).raw.select(*OP)
 
 
 def synth_first(spark, d):
-    first = review.first_result(review.dry_run(Stages(spark, d).packed))
-    return first.select("doc_id", "chunk_index", "order_index", "k", F.col("op.type").alias("type"), F.col("op.snippet").alias("snippet"), F.col("op.range_start").alias("range_start"))
+    first = review.first_result(keep(review.dry_run(Stages(spark, d).plan), "proposals")[0])
+    return first.select("doc_id", "chunk_index", "order_index", "k", "type", "snippet", "range_start")
 
 
 def quoted_range_exact(spark, d):
     stages = Stages(spark, d)
-    ops = stages.ops.filter("quoted_text is not null")
-    return fuzzy.exact_ranges(ops.join(stages.units.select("doc_id", "unit_uid", "accepted_text"), ["doc_id", "unit_uid"])).select("doc_id", "chunk_id", "op_index", F.col("found_start").alias("start_at"), F.col("found_end").alias("end_at"))
+    ops = stages.raw.filter("quoted_text is not null")
+    return fuzzy.exact_ranges(ops.join(stages.packed.select("doc_id", "unit_uid", "accepted_text"), ["doc_id", "unit_uid"])).select("doc_id", "chunk_id", "op_index", F.col("found_start").alias("start_at"), F.col("found_end").alias("end_at"))
 
 
 def quoted_range_fuzzy(spark, d):
@@ -187,44 +215,36 @@ def quoted_range_fuzzy(spark, d):
 
 def sanitize_reasons(spark, d):
     stages = Stages(spark, d)
-    return sanitize.sanitize(stages.ops, stages.members).select("doc_id", "chunk_id", "op_index", "type", "reason")
+    return sanitize.sanitize(stages.raw, stages.members).select("doc_id", "chunk_id", "op_index", "type", "part", "para_id", "reason")
 
 
 def sanitize_log(spark, d):
     stages = Stages(spark, d)
-    return sanitize.log(sanitize.sanitize(stages.ops, stages.members))
+    return sanitize.log(sanitize.sanitize(stages.raw, stages.members))
 
 
 def ownership(spark, d):
-    stages = Stages(spark, d)
-    return merge.own(stages.ops, stages.members).select("doc_id", "chunk_id", "op_index", "owner_reason")
+    return Stages(spark, d).owned.select("doc_id", "chunk_id", "op_index", "owner_reason")
 
 
 def uid_autofill(spark, d):
-    stages = Stages(spark, d)
-    return merge.own(stages.ops, stages.members).filter("autofilled").select("doc_id", "chunk_id", "op_index", "unit_uid")
+    return Stages(spark, d).owned.filter("autofilled").select("doc_id", "chunk_id", "op_index", "unit_uid")
 
 
 def range_resolution(spark, d):
-    stages = Stages(spark, d)
-    out = merge.resolve(merge.own(stages.ops, stages.members), stages.units)
-    return out.filter("range_event is not null").select("doc_id", "chunk_id", "op_index", "range_event", "type", "range_start", "range_end", "comment_text")
-
-
-def _dedup(stages):
-    return merge.dedup(merge.resolve(merge.own(stages.ops, stages.members), stages.units))
+    return Stages(spark, d).resolved.filter("range_event is not null").select("doc_id", "chunk_id", "op_index", "range_event", "type", "range_start", "range_end", "comment_text")
 
 
 def dedup_ops(spark, d):
-    return _dedup(Stages(spark, d)).select("doc_id", "chunk_id", "op_index", "type", "dedup_key")
+    return Stages(spark, d).deduped.select("doc_id", "chunk_id", "op_index", "type", "dedup_key")
 
 
 def conflict_pairs(spark, d):
-    return merge.conflict_pairs(_dedup(Stages(spark, d)))
+    return merge.conflict_pairs(keep(Stages(spark, d).deduped, "deduped")[0])
 
 
 def conflict_greedy(spark, d):
-    return merge.downgrade(_dedup(Stages(spark, d))).select("doc_id", "chunk_id", "op_index", "type", "downgraded", "comment_text")
+    return Stages(spark, d).downgraded.select("doc_id", "chunk_id", "op_index", "type", "downgraded", "comment_text")
 
 
 def patch_order(spark, d):
@@ -233,14 +253,18 @@ def patch_order(spark, d):
 
 def merge_stats(spark, d):
     stages = Stages(spark, d)
-    return merge.stats(stages.ops, stages.members, stages.units)
+    ops = stages.ops
+    owned, _ = keep(merge.own(ops, stages.members), "owned")
+    resolved, _ = keep(merge.resolve(owned, stages.packed), "resolved")
+    patch = merge.downgrade(keep(merge.dedup(resolved), "deduped")[0])
+    return merge.stats(ops, owned, resolved, patch)
 
 
 def merge_reasons(spark, d):
     stages = Stages(spark, d)
-    owned = merge.own(stages.ops, stages.members)
+    owned, _ = keep(stages.owned, "owned")
     rejected = owned.filter("owner_reason is not null").select(F.col("owner_reason").alias("reason"))
-    events = merge.resolve(owned, stages.units).filter("range_event is not null").select(F.col("range_event").alias("reason"))
+    events = merge.resolve(owned, stages.packed).filter("range_event is not null").select(F.col("range_event").alias("reason"))
     return rejected.union(events).groupBy("reason").agg(F.count("*").alias("n"))
 
 
@@ -300,7 +324,7 @@ def report_stats(spark, d):
 
 def _runs(stages):
     """Three runs, each without a third of the ops."""
-    made = _dedup(stages).select("doc_id", "chunk_id", "dedup_key", F.explode(F.array(*[F.lit(i) for i in range(RUNS)])).alias("run"))
+    made = stages.deduped.select("doc_id", "chunk_id", "dedup_key", F.explode(F.array(*[F.lit(i) for i in range(RUNS)])).alias("run"))
     number = F.conv(F.substring(F.sha2(F.concat_ws("|", "dedup_key", "run"), 256), 1, 8), 16, 10).cast("long")
     return made.filter(number % 3 != 0)
 

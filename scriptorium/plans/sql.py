@@ -36,7 +36,7 @@ def _occurrences(text: str, snippet: str) -> str:
 
 
 def _chunk_id(index: str) -> str:
-    return f"'chunk_' || lpad(cast({index} + 1 as varchar), 4, '0')"
+    return f"'chunk_' || lpad(cast({index} + 1 as varchar), greatest(4, length(cast({index} + 1 as varchar))), '0')"
 
 
 STEPS: dict[str, tuple[str, tuple[str, ...]]] = {}
@@ -125,7 +125,7 @@ _EXTRA = [
 _step("ops", f"select *, {_chunk_id('chunk_index')} as chunk_id, cast(row_number() over (partition by doc_id, chunk_index order by order_index, k) - 1 as integer) as op_index from (" + " union all ".join(_DRY + _EXTRA) + ")", "four")
 _step("mem", "select m.doc_id, m.chunk_id, m.role, u.part, u.para_id, u.unit_uid from members m join units u using (doc_id, order_index)", "members", "units")
 _step("sanitized", r"""
-  select o.*, case when o.type not in ('add_comment', 'replace_range', 'insert_at') then 'invalid_type' when m.unit_uid is null then 'non_primary_target'
+  select o.* replace (coalesce(m.part, o.part) as part, coalesce(m.para_id, o.para_id) as para_id), case when o.type not in ('add_comment', 'replace_range', 'insert_at') then 'invalid_type' when m.unit_uid is null then 'non_primary_target'
       when not coalesce(range_start >= 0 and range_end >= range_start, false) then 'missing_range' when o.type = 'replace_range' and replacement is null then 'missing_replacement'
       when o.type = 'insert_at' and range_start <> range_end then 'non_collapsed_range' when o.type = 'insert_at' and new_text is null then 'missing_new_text'
       when o.type = 'insert_at' and new_text = '' then 'empty_new_text' when o.type = 'add_comment' and not regexp_matches(coalesce(comment_text, ''), '\S') then 'missing_comment_text' end as reason
@@ -236,7 +236,7 @@ ORACLE_SQL: dict[str, str] = {
     "search_literal": _search(LITERAL),
     "search_literal_ci": _search("(?i)The"),
     "search_regex": _search(REGEX),
-    "search_summary": _with(f"select (select count(*) from units) as unit_count, cast(coalesce(sum(n), 0) as bigint) as hit_count, count(*) as hit_unit_count from (select part, para_id, unit_uid, count(*) as n from ({_spans('accepted_text', LITERAL)}) group by all)", "units"),
+    "search_summary": _with(f"select (select count(*) from units) as unit_count, cast(coalesce(sum(n), 0) as bigint) as hit_count, count(*) as hit_unit_count from (select doc_id, part, para_id, unit_uid, count(*) as n from ({_spans('accepted_text', LITERAL)}) group by all)", "units"),
     "word_unique": _with(f"select doc_id, word from (select doc_id, unnest(regexp_extract_all(accepted_text, '{_WORD}')) as word from units) group by all having count(*) = 1", "units"),
     "chunk_pack": _with("select doc_id, order_index, tok as token_estimate, chunk_index from pk", "pk"),
     "chunk_context": _with("select doc_id, chunk_id, role, role = 'primary' as editable, cast(row_number() over (partition by doc_id, chunk_index, role order by order_index) - 1 as integer) as pos, order_index, tok as token_estimate from members", "members"),
@@ -262,7 +262,7 @@ ORACLE_SQL: dict[str, str] = {
           select o.doc_id, o.chunk_id, o.op_index, u.accepted_text, split_part(quoted_text, '[[', 1) as pre, split_part(quoted_text, ']]', 2) as post,
             case when regexp_matches(split_part(split_part(quoted_text, '[[', 2), ']]', 1), '\S') then split_part(split_part(quoted_text, '[[', 2), ']]', 1) else '' end as mid
           from ops o join units u using (doc_id, unit_uid) where quoted_text is not null))""", "ops", "units"),
-    "sanitize_reasons": _with("select doc_id, chunk_id, op_index, type, reason from sanitized", "sanitized"),
+    "sanitize_reasons": _with("select doc_id, chunk_id, op_index, type, part, para_id, reason from sanitized", "sanitized"),
     "sanitize_log": _with("select doc_id, chunk_id, count(*) as input_op_count, count(*) filter (where reason is null) as output_op_count, count(*) filter (where reason is not null) as converted_ops from sanitized group by all", "sanitized"),
     "ownership": _with("select doc_id, chunk_id, op_index, owner_reason from owned", "owned"),
     "uid_autofill": _with("select doc_id, chunk_id, op_index, unit_uid from owned where autofilled", "owned"),
@@ -272,10 +272,10 @@ ORACLE_SQL: dict[str, str] = {
     "conflict_greedy": _with("select doc_id, chunk_id, op_index, type, downgraded, comment_text from downgraded", "downgraded"),
     "patch_order": _with("select doc_id, patch_pos, chunk_id, op_index, type, cast(range_start as integer) as range_start, cast(range_end as integer) as range_end from patch", "patch"),
     "merge_stats": _with("""
-      select r.doc_id, chunk_file_count, input_ops, coalesce(valid_ops, 0) as valid_ops, coalesce(rejected, 0) as rejected, coalesce(rejected_context, 0) as rejected_context, coalesce(rejected_unknown, 0) as rejected_unknown, coalesce(autofilled, 0) as autofilled,
+      select r.doc_id, chunk_file_count, input_ops, coalesce(valid_ops, 0) as valid_ops, coalesce(rejected, 0) as rejected, coalesce(rejected_context, 0) as rejected_context, coalesce(rejected_unknown, 0) as rejected_unknown, coalesce(rejected_ambiguous_missing_unit_uid, 0) as rejected_ambiguous_missing_unit_uid, coalesce(autofilled, 0) as autofilled,
         coalesce(range_resolution_events, 0) as range_resolution_events, coalesce(conflict_downgrades, 0) as conflict_downgrades, coalesce(final_ops, 0) as final_ops, coalesce(live, 0) - coalesce(final_ops, 0) as duplicates_removed, coalesce(final_ops, 0) as ops_after_dedup
       from (select doc_id, count(distinct chunk_id) as chunk_file_count, count(*) as input_ops from ops group by all) r
-      left join (select doc_id, count(*) as valid_ops, count(owner_reason) as rejected, count(*) filter (where owner_reason = 'target_is_context_unit') as rejected_context, count(*) filter (where owner_reason = 'target_not_owned_by_chunk') as rejected_unknown, count(*) filter (where autofilled) as autofilled from owned group by all) o using (doc_id)
+      left join (select doc_id, count(*) as valid_ops, count(owner_reason) as rejected, count(*) filter (where owner_reason = 'target_is_context_unit') as rejected_context, count(*) filter (where owner_reason = 'target_not_owned_by_chunk') as rejected_unknown, count(*) filter (where owner_reason = 'missing_unit_uid_ambiguous_primary_match') as rejected_ambiguous_missing_unit_uid, count(*) filter (where autofilled) as autofilled from owned group by all) o using (doc_id)
       left join (select doc_id, count(range_event) as range_resolution_events, count(*) filter (where coalesce(range_event, '') <> 'range_resolution_snippet_not_found') as live from resolved group by all) l using (doc_id)
       left join (select doc_id, count(*) filter (where downgraded) as conflict_downgrades, count(*) as final_ops from downgraded group by all) f using (doc_id)""", "ops", "owned", "resolved", "downgraded"),
     "merge_reasons": _with("select reason, count(*) as n from (select owner_reason as reason from owned where owner_reason is not null union all select range_event from resolved where range_event is not null) group by all", "owned", "resolved"),

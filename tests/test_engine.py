@@ -113,7 +113,8 @@ def test_merge_main_set(spark):
     starts = [x.range_start for x in patch[:5]]
     assert starts == sorted(starts, reverse=True) and sum(x.downgraded for x in patch) == 2
     assert all("Conflict downgrade" in x.comment_text and x.replacement is None for x in patch if x.downgraded)
-    s = merge.stats(frame, who, u).first()
+    owned = merge.own(frame, who)
+    s = merge.stats(frame, owned, merge.resolve(owned, u), merge.merge(frame, who, u)).first()
     assert (s.chunk_file_count, s.input_ops, s.valid_ops, s.duplicates_removed, s.ops_after_dedup, s.conflict_downgrades, s.final_ops) == (2, 7, 7, 1, 6, 2, 6)
 
 
