@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scriptorium.llm import decontaminate, jaccard_join, mixing, quality, token_files
 from scriptorium.llm.queries import tokenizer_path
-from scriptorium.llm.store import keep
+from scriptorium.tables import keep
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

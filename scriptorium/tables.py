@@ -8,6 +8,7 @@ which goes when the driver's program ends.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -56,6 +57,21 @@ def keep(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def stable(df: DataFrame, name: str) -> DataFrame:
+    """df itself where its rows come straight from files, whose splits are the same whenever a task
+    runs again; else a kept copy. Operators that number rows by task and place need it: a task that
+    reads a shuffle again may see its rows in another order."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return keep(df, name)[0] if "Exchange" in plan else df
+
+
+def settle(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more. The driver
+    would find them at its next full collection, which may come long after the disks are full."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Deletes tables that no returned DataFrame reads any more."""
     jvm = spark._jvm
