@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import drop, keep
+from ..tables import drop, keep
 
 
 def components(edges: DataFrame) -> DataFrame:

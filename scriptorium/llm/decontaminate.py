@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import drop, keep
+from ..tables import drop, keep
 from .words import groups_of, mix64, split_folded
 
 ENDS = bytes(c for c in range(33, 127) if not chr(c).isalnum())

@@ -30,22 +30,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..tables import drop, keep, settle, stable
 from .components import components
-from .store import drop, keep
 from .words import Batch, groups_of, mix64, trim
 
 SHINGLE = 5
 #: A link needs NUM / DEN of the union.
 NUM, DEN = 3, 4
-#: Texts of one packed group; documents to a bucket of hashes.
-GROUP_CHARS, BUCKET_DOCS = 3_000_000, 512
-LEAST_BUCKETS, MOST_BUCKETS = 1 << 11, 1 << 18
+#: Characters and documents of one packed group at most, and documents to a bucket of hashes.
+GROUP_CHARS, GROUP_DOCS, BUCKET_DOCS = 3_000_000, 1 << 16, 512
+#: Packed rows get short with more buckets than this; beyond 5 x 10^8 documents buckets grow instead,
+#: at 2 x 10^10 documents to about 50 MB of hashes.
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 11, 1 << 20
 SEEDS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B, 0x510E527FADE682D1)
 
 _PACKED = "bucket long, gid long, kind int, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
 _DOCS = "rid long, key long, n long, fp1 long, fp2 long, m1 long, m2 long, m3 long, m4 long, shared array<long>"
 
 
+def bucket_number(rows: int, least: int = LEAST_BUCKETS) -> int:
+    """A power of two that gives each bucket the hashes of so many documents as BUCKET_DOCS."""
+    buckets = least
+    while buckets < MOST_BUCKETS and buckets * BUCKET_DOCS < rows:
+        buckets *= 2
+    return buckets
+
+
 def least_overlap(n: np.ndarray) -> np.ndarray:
     return (NUM * n + DEN - 1) // DEN
 
@@ -67,12 +77,12 @@ def _pack(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        gid = TaskContext.get().partitionId() << 20
+        gid = TaskContext.get().partitionId() << 24
         for rows in batches:
             keys, texts = rows.column(0), rows.column(1).to_pylist()
             for lo, hi in groups_of(texts, GROUP_CHARS):
-                for low in range(lo, hi, 65536):
-                    high = min(hi, low + 65536)
+                for low in range(lo, hi, GROUP_DOCS):
+                    high = min(hi, low + GROUP_DOCS)
                     yield pack(gid, keys.slice(low, high - low), texts[low:high])
                     gid += 1
             trim()
@@ -178,7 +188,7 @@ def _gather(table: pa.Table) -> pa.Table:
     for i in np.flatnonzero(dense).tolist():
         sets[i] = token[at : at + shared[i]]
         at += shared[i]
-    arrays = [pa.array((gid << 16) + np.arange(len(n))), pa.array(key.astype(np.int64), mask=null.astype(bool)), pa.array(n.astype(np.int64)), *[pa.array(s.astype(np.int64)) for s in stats], pa.array(sets, pa.list_(pa.int64()))]
+    arrays = [pa.array(gid * GROUP_DOCS + np.arange(len(n))), pa.array(key.astype(np.int64), mask=null.astype(bool)), pa.array(n.astype(np.int64)), *[pa.array(s.astype(np.int64)) for s in stats], pa.array(sets, pa.list_(pa.int64()))]
     return pa.Table.from_arrays(arrays, names=[c.split()[0] for c in _DOCS.split(", ")])
 
 
@@ -216,13 +226,13 @@ def link(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     are null, which gives null. An empty table stays empty; other columns are not read.
     """
     spark = docs.sparkSession
-    buckets = LEAST_BUCKETS
-    rows = docs.count()
-    while buckets < MOST_BUCKETS and buckets * BUCKET_DOCS < rows:
-        buckets *= 2
-    packed = docs.select(docs[key].cast("long").alias("k"), docs[body].alias("t")).mapInArrow(_pack(buckets), _PACKED)
+    narrow = stable(docs.select(docs[key].cast("long").alias("k"), docs[body].alias("t")), "jaccard-input")
+    buckets = bucket_number(narrow.count())
+    packed = narrow.mapInArrow(_pack(buckets), _PACKED)
     counted = packed.groupBy("bucket").applyInArrow(_count(buckets), _PACKED)
     table, table_at = keep(counted.groupBy("gid").applyInArrow(_gather, _DOCS), "shingle-sets")
+    del packed, counted
+    settle(spark)  # the packed exchange is the largest
 
     # classes of equal sets; only those with two documents or more have to be told to their members
     same = ["n", "fp1", "fp2"]

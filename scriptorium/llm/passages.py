@@ -11,8 +11,10 @@ anchor, and the `size` words from an anchor on are a paragraph. Documents that s
 2. Keys meet in one packed exchange. Equal paragraphs are one content; different ones with a band
    in common are candidates, unless all of a key's overlap in one text.
 3. Candidates' shingles are read from their documents' texts. All contents of a key are compared
-   by exact Jaccard; those of keys with more than HOT contents by the exact join of
-   `jaccard_join`, whose work does not grow with the square of a key.
+   by exact Jaccard, keys with the same contents once. A few contents are compared pair by pair; more by
+   widening components through an index of their shingles, so that contents which links connect
+   already are not compared again; those of keys with more than HOT contents by the exact join
+   of `jaccard_join`, whose work is spread over tasks.
 4. Components of the contents are clusters of passages. A cluster's passages stay in the document
    with the smallest key and are removals in the others; paragraphs that overlap are one span.
 """
@@ -27,17 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..tables import drop, keep, settle, stable
 from .components import components
-from .jaccard_join import DEN, NUM, _again, _join, _links
-from .store import drop, keep
+from .jaccard_join import DEN, GROUP_DOCS, NUM, _again, _join, _links, bucket_number
 from .words import Batch, groups_of, mix64, trim
 
 SHINGLE = 5
-GROUP_CHARS, BUCKET_DOCS = 3_000_000, 512
-LEAST_BUCKETS, MOST_BUCKETS = 1 << 10, 1 << 18
-BITMAP_BITS = 24
-#: The most contents of a band key that are compared in one place.
-HOT = 256
+GROUP_CHARS = 3_000_000
+#: The most contents of a band key that are compared in one place, and pair by pair.
+HOT, FEW = 4096, 24
 
 
 @dataclass(frozen=True)
@@ -56,8 +56,8 @@ class Options:
 _ROWS = "bucket long, gid long, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
 _NAMES = [c.split()[0] for c in _ROWS.split(", ")]
 _TYPES = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 6]
-#: kind 1: a paragraph of a content that occurs again; 3: a paragraph to be compared; 4: one of those and its band key, or -1.
-_FOUND = "kind int, content long, wid long, wid2 long, did long, key long, hash long, begin long"
+#: kind 1: a paragraph of a content that occurs again; 3: a paragraph to be compared; 4: one of those and its key's contents (hash), 5: of a hot key.
+_FOUND = "kind int, content long, gid long, place long, met long, did long, key long, hash long, begin long"
 _FOUND_NAMES = [c.split()[0] for c in _FOUND.split(", ")]
 
 
@@ -128,12 +128,14 @@ def _pack(o: Options, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        gid = TaskContext.get().partitionId() << 12
+        gid = TaskContext.get().partitionId() << 24
         for rows in batches:
             texts = rows.column(2).to_pylist()
             for lo, hi in groups_of(texts, GROUP_CHARS):
-                yield from pack(gid, rows.slice(lo, hi - lo), texts[lo:hi]).to_batches()
-                gid += 1
+                for low in range(lo, hi, GROUP_DOCS):
+                    high = min(hi, low + GROUP_DOCS)
+                    yield from pack(gid, rows.slice(low, high - low), texts[low:high]).to_batches()
+                    gid += 1
             trim()
 
     def pack(gid: int, rows: pa.RecordBatch, texts: list) -> pa.Table:
@@ -165,7 +167,7 @@ def _pack(o: Options, buckets: int):
                     row[0], row[1], row[2] = low[s].tobytes(), content[some].astype("<u8").tobytes(), place[some].tobytes()
                 else:
                     row[3] += low[s].tobytes()
-                    row[4] += content[some].astype("<u8").tobytes()
+                    row[4] += (content[some] >> np.uint64(32)).astype("<u4").tobytes()
                     row[5] += place[some].tobytes()
         out += [(b, gid, 1, *row) for b, row in sent.items()]
         return _table(out, _TYPES, _NAMES)
@@ -174,7 +176,8 @@ def _pack(o: Options, buckets: int):
 
 
 def _meet(o: Options, buckets: int):
-    """Contents that other groups hold too, and the band keys that different contents share."""
+    """Contents that other groups hold too, and the contents that meet in a band key. Keys are told
+    apart by the contents they hold: two keys with the same ones are one."""
     most = HOT if o.threshold == NUM / DEN else np.inf
 
     def run(table: pa.Table) -> pa.Table:
@@ -186,19 +189,20 @@ def _meet(o: Options, buckets: int):
         content, _ = _join(table.column("b"), "<u8")
         p0, _ = _join(table.column("c"), "<u4")
         k1, n1 = _join(table.column("d"), "<u4")
-        content1, _ = _join(table.column("e"), "<u8")
+        mark1, _ = _join(table.column("e"), "<u4")
         p1, _ = _join(table.column("f"), "<u4")
         g0, g1 = np.repeat(gid, n0), np.repeat(gid, n1)
         out = []
 
         _, at, count = np.unique(content, return_inverse=True, return_counts=True)
-        again = count[at] > 1
-        for g in np.unique(g0[again]).tolist():
-            use = again & (g0 == g)
-            out.append((bucket, g, 1, content[use].tobytes(), p0[use].tobytes(), b"", b"", b"", b""))
+        again = np.flatnonzero(count[at] > 1)
+        again = again[np.argsort(g0[again], kind="stable")]
+        for some in np.split(again, np.flatnonzero(np.diff(g0[again])) + 1):
+            if len(some):
+                out.append((bucket, int(g0[some[0]]), 1, content[some].tobytes(), p0[some].tobytes(), b"", b"", b"", b""))
 
         met = []
-        for key, mark, g, p in ((k0, content, g0, p0), (k1, content1, g1, p1)):
+        for key, mark, g, p in ((k0, content >> np.uint64(32), g0, p0), (k1, mark1, g1, p1)):
             order = np.lexsort((p, g, mark, key))
             key, mark, g, p = key[order].astype(np.int64), mark[order], g[order], p[order].astype(np.int64)
             if not len(key):
@@ -212,13 +216,20 @@ def _meet(o: Options, buckets: int):
             first, last = np.repeat(begin, count), np.repeat(begin + count - 1, count)
             # paragraphs that overlap in one text are no news
             use = (g[first] != g[last]) | (p - p[first] >= o.size) | (p[last] - p >= o.size)
-            met.append(np.stack((np.where(count > most, -1, (bucket << 32) | key[begin]).repeat(count), g, p), axis=1)[use])
-        met = np.unique(np.concatenate(met), axis=0) if met else np.empty((0, 3), np.int64)
-        if len(met):
-            out.append((bucket, int(met[0, 1]), 4, ((met[:, 1] << 32) | met[:, 2]).astype("<i8").tobytes(), met[:, 0].astype("<i8").tobytes(), b"", b"", b"", b""))
-            asked = np.unique(met[:, 1:], axis=0)
-            cut = np.append(np.flatnonzero(np.diff(asked[:, 0], prepend=-1)), len(asked))
-            out += [(bucket, int(asked[a, 0]), 3, asked[a:b, 1].astype("<u4").tobytes(), b"", b"", b"", b"", b"") for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            key, g, p = key[use], g[use], p[use]
+            if not len(key):
+                continue
+            begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            count = np.diff(np.append(begin, len(key)))
+            who = mix64(mix64(g.astype(np.uint64)) ^ p.astype(np.uint64))
+            contents = mix64(np.add.reduceat(who, begin)).view(np.int64)
+            met.append(np.stack((contents.repeat(count), g, p, (count > most).repeat(count)), axis=1))
+        if met:
+            met = np.unique(np.concatenate(met), axis=0)
+            met = met[np.argsort(met[:, 1], kind="stable")]
+            for rows in np.split(met, np.flatnonzero(np.diff(met[:, 1])) + 1):
+                if len(rows):
+                    out.append((bucket, int(rows[0, 1]), 3, rows[:, 2].astype("<u4").tobytes(), rows[:, 0].astype("<i8").tobytes(), rows[:, 3].astype("u1").tobytes(), b"", b"", b""))
         return _table(out, _TYPES, _NAMES)
 
     return run
@@ -240,87 +251,129 @@ def _gather(table: pa.Table) -> pa.Table:
     p1, _ = _join(part(1).column("b"), "<u4")
     single = ~np.isin(c1, c2)  # contents with several places here bring all of them
     content, place = np.concatenate((c2, c1[single])).astype(np.int64), np.concatenate((p2, p1[single])).astype(np.int64)
-    asked, _ = _join(part(3).column("a"), "<u4")
-    asked = np.unique(asked).astype(np.int64)
-    left, _ = _join(part(4).column("a"), "<i8")
-    right, _ = _join(part(4).column("b"), "<i8")
+    where, _ = _join(part(3).column("a"), "<u4")
+    met, _ = _join(part(3).column("b"), "<i8")
+    hot, _ = _join(part(3).column("c"), "u1")
+    asked = np.unique(where).astype(np.int64)
     tables = []
     for k, c, p in ((1, content, place), (3, np.zeros(len(asked), np.int64), asked)):
         d = np.searchsorted(stop, p, "right")
-        arrays = [pa.array(np.full(len(p), k, np.int32)), pa.array(c), pa.array((gid << 32) | p), pa.nulls(len(p), pa.int64()), pa.array((gid << 20) + d), pa.array(keys[d].astype(np.int64), mask=null[d].astype(bool)), pa.array(hashes[d].astype(np.int64)), pa.array(p - (stop - counts)[d])]
+        arrays = [pa.array(np.full(len(p), k, np.int32)), pa.array(c), pa.array(np.full(len(p), gid)), pa.array(p), pa.nulls(len(p), pa.int64()), pa.array(gid * GROUP_DOCS + d), pa.array(keys[d].astype(np.int64), mask=null[d].astype(bool)), pa.array(hashes[d].astype(np.int64)), pa.array(p - (stop - counts)[d])]
         tables.append(pa.Table.from_arrays(arrays, names=_FOUND_NAMES))
-    none = pa.nulls(len(left), pa.int64())
-    tables.append(pa.Table.from_arrays([pa.array(np.full(len(left), 4, np.int32)), none, pa.array(left.astype(np.int64)), pa.array(right.astype(np.int64)), none, none, none, none], names=_FOUND_NAMES))
+    none = pa.nulls(len(where), pa.int64())
+    tables.append(pa.Table.from_arrays([pa.array(4 + hot.astype(np.int32)), none, pa.array(np.full(len(where), gid)), pa.array(where.astype(np.int64)), pa.array(met.astype(np.int64)), none, none, none, none], names=_FOUND_NAMES))
     return pa.concat_tables(tables)
 
 
-def _marked(shared):
-    """The documents whose row hash a bitmap of fixed size may hold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, mask = np.unpackbits(shared.value, bitorder="little").view(bool), (1 << BITMAP_BITS) - 1
-        for rows in batches:
-            yield rows.filter(pa.array(bitmap[rows.column(0).to_numpy() & mask]))
-
-    return run
-
-
 def _shingles(o: Options):
-    """The content hash and the sorted distinct shingles of the paragraphs asked for in each text."""
+    """The content hash and the distinct shingles (32 bits of each) of the paragraphs asked for in each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             texts, asked = rows.column(1).to_pylist(), rows.column(0).to_pylist()
-            out = []
             for lo, hi in groups_of(texts, GROUP_CHARS):
+                out = []
                 batch, values, _ = paragraphs(texts[lo:hi], o)
+                short = (values >> np.uint64(32)).astype("<u4")
                 for i, some in enumerate(asked[lo:hi]):
                     at = np.array([x["begin"] for x in some], np.int64) + batch.starts[i]
                     for x, p, c in zip(some, at.tolist(), _contents(values, at, o).astype(np.int64).tolist(), strict=True):
-                        s = np.unique(values[p : p + o.size - SHINGLE + 1].astype("<i8"))
-                        out.append((x["wid"], c, len(s), s))
-            yield from _table(out, [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())], ["wid", "content", "n", "shared"]).to_batches()
+                        out.append((x["gid"], x["place"], c, np.unique(short[p : p + o.size - SHINGLE + 1]).tobytes()))
+                yield from _table(out, [pa.int64(), pa.int64(), pa.int64(), pa.binary()], ["gid", "place", "content", "s"]).to_batches()
+            trim()
 
     return run
 
 
+def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed shingles as arrays."""
+    for rows in batches:
+        sets = [np.frombuffer(s.as_buffer(), "<u4").astype(np.int64) for s in rows.column(1)]
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["rid", "n", "shared"])
+
+
 def _near(o: Options):
-    """Links that connect, in each band key, all contents that pairs at the threshold connect."""
+    """Links that connect, in each key, all contents that pairs at the threshold connect."""
+    width = o.size - SHINGLE + 1
 
     def run(table: pa.Table) -> pa.Table:
-        key, content, wid = (table.column(c).to_numpy() for c in ("band", "content", "wid"))
-        shared = table.column("shared").combine_chunks()
-        shared = shared.chunk(0) if isinstance(shared, pa.ChunkedArray) else shared
-        values, offsets = shared.values.to_numpy(), shared.offsets.to_numpy()
-        n = np.diff(offsets)
-        order = np.argsort(key, kind="stable")
-        begin = np.flatnonzero(np.diff(key[order], prepend=-1))
+        met, content, gid, place = (table.column(c).to_numpy() for c in ("met", "content", "gid", "place"))
+        order = np.lexsort((place, gid, met))
+        met, content, gid, place = met[order], content[order], gid[order], place[order]
+        values, n = _join(table.column("s"), "<u4")
+        start = (np.cumsum(n) - n)[order]
+        n = n[order]
+        begin = np.flatnonzero(np.concatenate(([True], met[1:] != met[:-1])))
+        count = np.diff(np.append(begin, len(met)))
         edges = [np.empty((0, 2), np.int64)]
-        for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(key)], strict=True):
-            some = order[lo:hi]
-            if len(some) < 2:
-                continue
-            tokens, at = np.unique(np.concatenate([values[offsets[i] : offsets[i + 1]] for i in some.tolist()]), return_inverse=True)
-            holds = np.zeros((len(some), len(tokens)), np.float32)
-            holds[np.repeat(np.arange(len(some)), n[some]), at] = 1
-            inter = holds @ holds.T
-            linked = inter >= o.threshold * (n[some][:, None] + n[some] - inter)
-            linked &= ((wid[some] >> 32)[:, None] != wid[some] >> 32) | (np.abs(wid[some][:, None] - wid[some]) >= o.size)
-            np.fill_diagonal(linked, True)
-            label = np.arange(len(some))
-            while True:
-                least = np.where(linked, label, len(some)).min(axis=1)
-                if (least == label).all():
-                    break
-                label = least
-            other = np.flatnonzero(label != np.arange(len(some)))
-            edges.append(np.stack((content[some][label[other]], content[some][other]), axis=1))
+        for k in np.unique(count[(count > 1) & (count <= FEW)]).tolist():
+            of = begin[count == k]
+            for lo in range(0, len(of), step := max(1, 16000 // (k * k))):
+                rows = of[lo : lo + step, None] + np.arange(k)
+                label = _pairwise(rows, o, width, values, start, n, gid, place)
+                g, other = np.nonzero(label != np.arange(k))
+                edges.append(np.stack((content[rows[g, label[g, other]]], content[rows[g, other]]), axis=1))
+        for lo, k in zip(begin[count > FEW].tolist(), count[count > FEW].tolist(), strict=True):
+            label = _widen(np.arange(lo, lo + k), o, values, start, n, gid, place)
+            other = np.flatnonzero(label != np.arange(k))
+            edges.append(np.stack((content[lo + label[other]], content[lo + other]), axis=1))
         found = np.unique(np.concatenate(edges), axis=0)
         return pa.Table.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     return run
 
 
+def _pairwise(rows: np.ndarray, o: Options, width: int, values, start, n, gid, place) -> np.ndarray:
+    """For several keys with k contents each, the least place in the key that links reach from each."""
+    groups, k = rows.shape
+    at = start[rows][:, :, None] + np.arange(width)
+    inside = np.arange(width) < n[rows][:, :, None]
+    sets = values[np.where(inside, at, 0)].astype(np.int64)
+    left, right = np.where(inside, sets, -1), np.where(inside, sets, -2)
+    inter = (left[:, :, None, :, None] == right[:, None, :, None, :]).sum(axis=(3, 4))
+    size = n[rows]
+    linked = inter >= o.threshold * (size[:, :, None] + size[:, None, :] - inter)
+    linked &= (gid[rows][:, :, None] != gid[rows][:, None, :]) | (np.abs(place[rows][:, :, None] - place[rows][:, None, :]) >= o.size)
+    linked |= np.eye(k, dtype=bool)
+    label = np.broadcast_to(np.arange(k), (groups, k))
+    while True:
+        least = np.where(linked, label[:, None, :], k).min(axis=2)
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _widen(rows: np.ndarray, o: Options, values, start, n, gid, place) -> np.ndarray:
+    """The same for one key with many contents: a component grows from each content that has none
+    by those, of the contents without one, that link with a content of it. Contents that share a
+    shingle are found in an index of the shingles."""
+    k = len(rows)
+    size, gid, place = n[rows], gid[rows], place[rows]
+    offset = np.concatenate(([0], np.cumsum(size)))
+    flat = values[np.repeat(start[rows] - offset[:-1], size) + np.arange(offset[-1])]
+    _, token = np.unique(flat, return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    holders = np.repeat(np.arange(k), size)[order]
+    first = np.concatenate(([0], np.cumsum(np.bincount(token))))
+    label, open_ = np.full(k, -1), k
+    for seed in range(k):
+        if label[seed] >= 0:
+            continue
+        label[seed], open_ = seed, open_ - 1
+        border = [seed]
+        while border and open_:
+            x = border.pop()
+            held = token[offset[x] : offset[x + 1]]
+            near = np.concatenate([holders[a:b] for a, b in zip(first[held].tolist(), first[held + 1].tolist(), strict=True)])
+            inter = np.bincount(near[label[near] < 0], minlength=k)
+            linked = (inter > 0) & (inter >= o.threshold * (size + size[x] - inter)) & ((gid != gid[x]) | (np.abs(place - place[x]) >= o.size))
+            new = np.flatnonzero(linked)
+            label[new] = seed
+            open_ -= len(new)
+            border += new.tolist()
+    return label
+
+
 def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body: str = "text") -> DataFrame:
     """One row per span of a document whose passages occur in other documents: key, begin and end
     (words of the text, end exclusive), cluster (the smallest of the span's clusters), removed
@@ -332,40 +385,36 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    buckets, rows = LEAST_BUCKETS, docs.count()
-    while buckets < MOST_BUCKETS and buckets * BUCKET_DOCS < rows:
-        buckets *= 2
-    narrow = docs.select(F.xxhash64(docs[key], docs[body]).alias("h"), docs[key].cast("long").alias("k"), docs[body].alias("t"))
+    narrow = stable(docs.select(F.xxhash64(docs[key], docs[body]).alias("h"), docs[key].cast("long").alias("k"), docs[body].alias("t")), "passages-input")
+    buckets = bucket_number(narrow.count())
     met = narrow.mapInArrow(_pack(o, buckets), _ROWS).groupBy("bucket").applyInArrow(_meet(o, buckets), _ROWS)
     found, found_at = keep(met.groupBy("gid").applyInArrow(_gather, _FOUND), "paragraphs")
+    del met
+    settle(spark)  # the packed exchange is the largest
 
-    asked = found.filter("kind = 3").select("wid", "hash", "begin", "did", "key")
-    bitmap = np.zeros(1 << BITMAP_BITS, bool)
-    for batch in asked.select(F.expr(f"hash & {(1 << BITMAP_BITS) - 1}").alias("b")).distinct().toArrow().to_batches():
-        bitmap[batch.column(0).to_numpy()] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap, bitorder="little"))
-    texts, texts_at = keep(narrow.select("h", "t").mapInArrow(_marked(shared), "h long, t string").dropDuplicates(["h"]), "texts")
-    wanted = asked.groupBy("hash").agg(F.collect_list(F.struct("wid", "begin")).alias("asked"))
-    shingles = wanted.join(texts, wanted["hash"] == texts["h"]).select("asked", "t").mapInArrow(_shingles(o), "wid long, content long, n long, shared array<long>")
+    asked = found.filter("kind = 3").select("gid", "place", "hash", "begin", "did", "key")
+    wanted = asked.groupBy("hash").agg(F.collect_list(F.struct("gid", "place", "begin")).alias("asked"))
+    # equal rows of docs give equal shingles, which does no harm
+    shingles = wanted.join(narrow.select("h", "t"), F.col("hash") == F.col("h")).select("asked", "t").mapInArrow(_shingles(o), "gid long, place long, content long, s binary")
     shingles, shingles_at = keep(shingles, "shingles")
+    settle(spark)
 
-    banded = found.filter("kind = 4").select("wid", F.col("wid2").alias("band")).distinct()
-    cold = banded.filter("band >= 0").join(shingles, "wid").select(F.expr("band >> 32").alias("bucket"), "band", "wid", "content", "shared")
-    near = cold.groupBy("bucket").applyInArrow(_near(o), "a long, b long")
-    edges, edges_at = keep(near.filter("a <> b").distinct(), "edges")
+    which = ["gid", "place"]
+    cold = found.filter("kind = 4").select("met", *which).distinct().join(shingles, which).select(F.pmod("met", F.lit(buckets)).alias("bucket"), "met", "content", *which, "s")
+    edges, edges_at = keep(cold.groupBy("bucket").applyInArrow(_near(o), "a long, b long").filter("a <> b").distinct(), "edges")
     edges_at = [edges_at]
-    hot = banded.filter("band < 0")
-    if hot.limit(1).count():
-        hot = hot.join(shingles, "wid").dropDuplicates(["content"])
+    hot = found.filter("kind = 5").select(*which).distinct()
+    if not hot.isEmpty():
+        hot = hot.join(shingles, which).select("content", "s").dropDuplicates(["content"]).mapInArrow(_long, "rid long, n long, shared array<long>")
         rows = [F.array_min(F.transform("shared", lambda x, k=k: F.xxhash64(x, F.lit(k)))).alias(f"m{k}") for k in (1, 2, 3, 4)]
-        dense, dense_at = keep(hot.select(F.col("content").alias("rid"), "n", *rows, "shared"), "dense")
+        dense, dense_at = keep(hot.select("rid", "n", *rows, "shared"), "dense")
         links, links_at = _links(*_again(dense))
         edges = edges.union(links)
         edges_at += [dense_at, *links_at]
     labels, labels_at = keep(components(edges), "labels")
 
     # every paragraph of a content that occurs again or belongs to a component
-    single = asked.join(shingles.select("wid", "content"), "wid").join(labels.select(F.col("v").alias("content")), "content", "left_semi")
+    single = asked.join(shingles.select(*which, "content"), which).join(labels.select(F.col("v").alias("content")), "content", "left_semi")
     member = found.filter("kind = 1").select("content", "did", "key", "begin").union(single.select("content", "did", "key", "begin")).distinct()
     member, member_at = keep(member, "member")
     named = member.join(labels.withColumnRenamed("v", "content"), "content", "left").select("did", "key", "begin", F.coalesce("label", "content").alias("cluster"))
@@ -380,5 +429,5 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     placed = placed.withColumn("span", F.sum(F.coalesce(fresh.cast("int"), F.lit(1))).over(order))
     out = placed.groupBy("did", "key", "span").agg(F.min("begin").alias("begin"), (F.max("begin") + o.size).alias("end"), F.min("cluster").alias("cluster"), F.first("removed").alias("removed"))
     out, _ = keep(out.select(F.col("key").alias(key), "begin", "end", "cluster", "removed", F.col("did").alias("__doc")), "spans")
-    drop(spark, found_at, texts_at, shingles_at, *edges_at, labels_at, member_at, named_at, cluster_at)
+    drop(spark, found_at, shingles_at, *edges_at, labels_at, member_at, named_at, cluster_at)
     return out

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep, new_folder
+from ..tables import keep, new_folder
 from .words import groups_of, trim
 
 MAGIC = b"SCRPFOR1"

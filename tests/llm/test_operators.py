@@ -276,9 +276,10 @@ def passage_links(rows, o):
     return out
 
 
-@pytest.mark.parametrize("hot", [256, 3])
-def test_passages_of_a_key_are_all_compared(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, few", [(4096, 24), (4096, 1), (3, 24)])
+def test_passages_of_a_key_are_all_compared(spark, monkeypatch, hot, few):
     monkeypatch.setattr(passages, "HOT", hot)
+    monkeypatch.setattr(passages, "FEW", few)
     r, rows = random.Random(15), []
     for f in range(200):  # one pair that links, and ten others that meet it but do not link
         for edits in [(), (25,), *[(r.randrange(6, 16), r.randrange(34, 46)) for _ in range(10)]]:
