@@ -17,8 +17,9 @@
    share a prefix token.
 4. Components of the links, and each class's smallest key.
 
-Sets are compared by 64-bit hashes in counts and class fingerprints, and by at least 43 bits of
-them in overlaps.
+Links are exact up to hash collisions. Sets are compared by 64-bit hashes in class fingerprints
+(two, of 128 bits together), and by 43 bits or more in overlaps and counts: two sets of n shingles
+have one wrong hit in common with a chance of n x n / 2^43, which is 10^-9 for 100 shingles each.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ LEAST_BUCKETS, MOST_BUCKETS = 1 << 11, 1 << 20
 SEEDS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B, 0x510E527FADE682D1)
 
 _PACKED = "bucket long, gid long, kind int, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
-_DOCS = "rid long, key long, n long, fp1 long, fp2 long, m1 long, m2 long, m3 long, m4 long, shared array<long>"
+_DOCS = "rid long, key long, digest long, n long, fp1 long, fp2 long, m1 long, m2 long, m3 long, m4 long, shared array<long>"
 
 
 def bucket_number(rows: int, least: int = LEAST_BUCKETS) -> int:
@@ -79,15 +80,15 @@ def _pack(buckets: int):
 
         gid = TaskContext.get().partitionId() << 24
         for rows in batches:
-            keys, texts = rows.column(0), rows.column(1).to_pylist()
+            keys, digests, texts = rows.column(0), rows.column(1), rows.column(2).to_pylist()
             for lo, hi in groups_of(texts, GROUP_CHARS):
                 for low in range(lo, hi, GROUP_DOCS):
                     high = min(hi, low + GROUP_DOCS)
-                    yield pack(gid, keys.slice(low, high - low), texts[low:high])
+                    yield pack(gid, keys.slice(low, high - low), digests.slice(low, high - low), texts[low:high])
                     gid += 1
             trim()
 
-    def pack(gid: int, keys: pa.Array, texts: list) -> pa.RecordBatch:
+    def pack(gid: int, keys: pa.Array, digests: pa.Array, texts: list) -> pa.RecordBatch:
         h, n = _sets(texts)
         first = np.cumsum(n) - n
         some = np.flatnonzero(n)
@@ -99,7 +100,7 @@ def _pack(buckets: int):
                 stats[2 + k, some] = np.minimum.reduceat(mix64(h ^ np.uint64(seed)), first[some])
         null = np.array(keys.is_null().to_pylist(), "u1")
         known = keys.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
-        out = [(buckets + gid % buckets, gid, 0, known.tobytes(), null.tobytes(), n.astype("<i8").tobytes(), stats.astype("<u8").tobytes(), b"", b"", b"")]
+        out = [(buckets + gid % buckets, gid, 0, known.tobytes(), null.tobytes(), n.astype("<i8").tobytes(), stats.astype("<u8").tobytes(), digests.to_numpy().astype("<i8").tobytes(), b"", b"")]
 
         order = np.argsort(h)
         hs, ds = h[order], np.repeat(np.arange(len(n)), n)[order].astype("<u2")
@@ -169,7 +170,7 @@ def _gather(table: pa.Table) -> pa.Table:
     back = table.filter(pa.array(kind == 1))
     raw = lambda t, c, k: np.frombuffer(t.column(c)[0].as_py(), k)
     key, null, n = raw(docs, "a", "<i8"), raw(docs, "b", "u1"), raw(docs, "c", "<i8")
-    stats = raw(docs, "d", "<u8").reshape(6, len(n)).view("<i8")
+    stats, digest = raw(docs, "d", "<u8").reshape(6, len(n)).view("<i8"), raw(docs, "e", "<i8")
 
     t1, n1 = _join(back.column("a"), "<u4")
     d1, _ = _join(back.column("b"), "<u2")
@@ -188,7 +189,7 @@ def _gather(table: pa.Table) -> pa.Table:
     for i in np.flatnonzero(dense).tolist():
         sets[i] = token[at : at + shared[i]]
         at += shared[i]
-    arrays = [pa.array(gid * GROUP_DOCS + np.arange(len(n))), pa.array(key.astype(np.int64), mask=null.astype(bool)), pa.array(n.astype(np.int64)), *[pa.array(s.astype(np.int64)) for s in stats], pa.array(sets, pa.list_(pa.int64()))]
+    arrays = [pa.array(gid * GROUP_DOCS + np.arange(len(n))), pa.array(key.astype(np.int64), mask=null.astype(bool)), pa.array(digest.astype(np.int64)), pa.array(n.astype(np.int64)), *[pa.array(s.astype(np.int64)) for s in stats], pa.array(sets, pa.list_(pa.int64()))]
     return pa.Table.from_arrays(arrays, names=[c.split()[0] for c in _DOCS.split(", ")])
 
 
@@ -221,12 +222,45 @@ def link(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     """One row per row of docs: key, n_shingles and component_id (the smallest key that links
     reach, the own one included).
 
-    Documents without words, or null, have no shingles and no links. Rows with equal keys are
-    documents of their own; a null key is never the smallest unless all keys of its component
-    are null, which gives null. An empty table stays empty; other columns are not read.
+    Keys are integers. Documents without words, or null, have no shingles and no links. Rows with
+    equal keys are documents of their own; a null key is never the smallest unless all keys of its
+    component are null, which gives null. An empty table stays empty; other columns are not read.
     """
+    member, found = _components(docs, key, body)
+    return member.join(found, "rep", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("lowest", "least").alias("component_id"))
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, of which one of each component stays: the one with
+    the smallest key (null last), then the smallest text hash. Rows are told apart by key and
+    text, so rows with equal keys (null ones too) and different texts are judged each for itself;
+    of rows equal in both the one with the smallest other columns stays. Rows without words have
+    no links and all stay."""
+    member, found = _components(docs, key, body)
+    named = member.filter("n > 0").join(found, "rep", "left").select("key", "digest", F.coalesce("label", "rep").alias("g"))
+    same, same_at = keep(named.groupBy("g", "key", "digest").agg(F.count("*").alias("c")), "members-by-text")
+    first = same.groupBy("g").agg(F.min(F.struct(F.col("key").isNull(), "key", "digest")).alias("f")).select("g", "f.key", "f.digest", F.lit(True).alias("stays"))
+    on = same["g"].eqNullSafe(first["g"]) & same["key"].eqNullSafe(first["key"]) & (same["digest"] == first["digest"])
+    judged, _ = keep(same.join(first, on, "left").select(same["key"], same["digest"], "stays", "c"), "judged")
+    drop(docs.sparkSession, same_at)
+    # a text without words has no entry among the judged
+    which = lambda rows: docs[key].eqNullSafe(rows["key"]) & (F.xxhash64(docs[body]) == rows["digest"])
+    gone = judged.filter("stays is null")
+    left = docs.join(gone, which(gone), "left_anti")
+    several = judged.filter("stays and c > 1")
+    if several.isEmpty():
+        return left.select(*docs.columns)
+    single = left.join(several, which(several), "left_anti").select(*docs.columns)
+    rest = [c for c in docs.columns if c not in (key, body)]
+    again = left.join(several, which(several), "left_semi").groupBy(key, body).agg(F.min(F.struct(*rest) if rest else F.lit(0)).alias("__rest"))
+    return single.unionByName(again.select(key, body, *[F.col("__rest")[c].alias(c) for c in rest]).select(*docs.columns))
+
+
+def _components(docs: DataFrame, key: str, body: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of docs (rid, key, digest of the text, n and rep, their class) and, for classes that
+    links connect, their component's label and smallest key."""
     spark = docs.sparkSession
-    narrow = stable(docs.select(docs[key].cast("long").alias("k"), docs[body].alias("t")), "jaccard-input")
+    narrow = stable(docs.select(docs[key].cast("long").alias("k"), F.xxhash64(docs[body]).alias("d"), docs[body].alias("t")), "jaccard-input")
     buckets = bucket_number(narrow.count())
     packed = narrow.mapInArrow(_pack(buckets), _PACKED)
     counted = packed.groupBy("bucket").applyInArrow(_count(buckets), _PACKED)
@@ -238,18 +272,18 @@ def link(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     same = ["n", "fp1", "fp2"]
     classes = table.filter("n > 0").groupBy(*same).agg(F.min("rid").alias("rep"), F.min("key").alias("least"), F.count("*").alias("c")).filter("c > 1").drop("c")
     classes, classes_at = keep(classes, "classes")
-    member = table.select("rid", "key", *same).join(classes, same, "left")
-    member, member_at = keep(member.select("rid", "key", "n", F.coalesce("rep", "rid").alias("rep"), F.coalesce("least", "key").alias("least")), "members")
+    member = table.select("rid", "key", "digest", *same).join(classes, same, "left")
+    member, member_at = keep(member.select("rid", "key", "digest", "n", F.coalesce("rep", "rid").alias("rep"), F.coalesce("least", "key").alias("least")), "members")
 
     dense = table.filter("shared is not null").join(member.filter("rid <> rep").select("rid"), "rid", "left_anti")
     dense, dense_at = keep(dense.select("rid", "n", "m1", "m2", "m3", "m4", "shared"), "dense")
     edges, edges_at = _links(*_again(dense))
     labels = components(edges)
     least = labels.join(member.filter("rid = rep").select(F.col("rid").alias("v"), "least"), "v")
-    lowest, _ = keep(least.groupBy("label").agg(F.min("least").alias("lowest")), "lowest")
-    found, _ = keep(least.select("v", "label").join(lowest, "label").select(F.col("v").alias("rep"), "lowest"), "found")
-    drop(spark, table_at, classes_at, dense_at, *edges_at)
-    return member.join(found, "rep", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("lowest", "least").alias("component_id"))
+    lowest, lowest_at = keep(least.groupBy("label").agg(F.min("least").alias("lowest")), "lowest")
+    found, _ = keep(least.select("v", "label").join(lowest, "label").select(F.col("v").alias("rep"), "label", "lowest"), "found")
+    drop(spark, table_at, classes_at, dense_at, lowest_at, *edges_at)
+    return member, found
 
 
 def _again(dense: DataFrame) -> tuple[DataFrame, list[str]]:

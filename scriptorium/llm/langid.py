@@ -5,7 +5,9 @@ ends marked). A document's value for an n-gram is its count times the n-gram's i
 frequency, divided by the document's sum of those. Document frequencies cover every learning
 document; the regression is fitted by follow-the-regularised-leader with elastic-net penalties
 on a bounded sample (an expected `per_class` documents of each language), and a temperature is
-fitted on a part of the sample that the regression doesn't see.
+fitted on a part of the sample that the regression doesn't see. The sample's n-grams are counted
+where the texts are; only counts, at most one for each bucket and document, come to the driver.
+The model has a weight for each bucket and language, 256 KB a language.
 
 A document's scores are sums over its words, so they are computed once for each distinct word
 of a batch of texts.
@@ -29,9 +31,8 @@ from .words import Batch, groups_of, mix64
 
 LETTER = re.compile(r"[^\W\d_]")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
-#: Characters of texts handled together, in tasks and where the sample is fitted.
+#: Characters of texts handled together.
 BATCH_CHARS, FIT_CHARS = 4_000_000, 400_000
-MOST_CLASSES = 1000
 
 
 @dataclass(frozen=True)
@@ -153,34 +154,46 @@ class Model:
     options: Options
 
 
+def _counts(o: Options):
+    """Key, label and the n-gram counts of each text, as packed buckets and counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            texts = rows.column(2).to_pylist()
+            for lo, hi in groups_of(texts, FIT_CHARS):
+                batch = Batch(texts[lo:hi])
+                doc, word, count = _pairs(batch)
+                grams, owners = ngrams(batch.uniques, o)
+                entry, bucket = _expand(word, grams, owners, len(batch.uniques))
+                pair, at = np.unique(doc[entry] * o.buckets + bucket, return_inverse=True)
+                tf = np.bincount(at, count[entry], len(pair)).astype("<u4")
+                cut = np.searchsorted(pair // o.buckets, np.arange(hi - lo + 1)).tolist()
+                bucket = (pair % o.buckets).astype("<u4")
+                packed = [pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in (bucket, tf)]
+                yield pa.RecordBatch.from_arrays([*[rows.column(c).slice(lo, hi - lo) for c in (0, 1, 3)], *packed], names=["k", "y", "h", "bucket", "tf"])
+
+    return run
+
+
 def fit(docs: DataFrame, learn: Column, o: Options = Options(), body: str = "text", label: str = "lang", key: str = "doc_id") -> Model:
     """Fits on the rows of docs where learn holds and the label isn't null."""
-    known = docs.filter(learn & docs[label].isNotNull()).select(docs[key].alias("k"), docs[body].alias("t"), docs[label].cast("string").alias("y"))
-    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).limit(MOST_CLASSES + 1).collect()}
-    if len(counts) > MOST_CLASSES:
-        raise ValueError(f"more than {MOST_CLASSES} languages")
+    known = docs.filter(learn & docs[label].isNotNull()).select(docs[key].cast("string").alias("k"), docs[label].cast("string").alias("y"), docs[body].alias("t"), F.xxhash64(docs[body]).alias("h"))
+    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     classes = sorted(counts)
     if not classes:
         return Model([], np.zeros((o.buckets + 1, 0)), np.zeros(o.buckets), 1.0, o)
     df, total = document_frequencies(known, o, "t")
     idf = np.log((1 + total) / (1 + df)) + 1
     rate = F.create_map(*[F.lit(v) for c in classes for v in (c, min(1.0, o.per_class / counts[c]) * 2**32)])
-    rows = known.filter(shuffle_hash(F.col("k"), 8) < rate[F.col("y")]).toPandas().sort_values(["k", "t"], ignore_index=True)
+    sample = known.filter(shuffle_hash(F.col("k"), 8, F.col("h")) < rate[F.col("y")])
+    rows = sample.mapInArrow(_counts(o), "k string, y string, h long, bucket binary, tf binary").toPandas().sort_values(["k", "h"], ignore_index=True)
 
     xs: list = []
-    for lo, hi in groups_of(rows.t.tolist(), FIT_CHARS):
-        batch = Batch(rows.t[lo:hi])
-        doc, word, count = _pairs(batch)
-        grams, owners = ngrams(batch.uniques, o)
-        entry, bucket = _expand(word, grams, owners, len(batch.uniques))
-        pair, at = np.unique(doc[entry] * o.buckets + bucket, return_inverse=True)
-        tf = np.bincount(at, count[entry], len(pair))
-        where, bucket = pair // o.buckets, pair % o.buckets
-        value = tf * idf[bucket]
-        value *= o.scale / np.bincount(where, value, hi - lo)[where] if len(value) else 1
-        cut = np.searchsorted(where, np.arange(hi - lo + 1))
-        for a, b in zip(cut[:-1], cut[1:], strict=True):
-            xs.append((np.append(bucket[a:b], o.buckets).astype(np.int32), np.append(value[a:b], 1.0).astype(np.float32)))
+    for b, t in zip(rows.bucket, rows.tf, strict=True):
+        bucket = np.frombuffer(b, "<u4").astype(np.int32)
+        value = np.frombuffer(t, "<u4") * idf[bucket]
+        value *= o.scale / value.sum() if len(value) else 1
+        xs.append((np.append(bucket, np.int32(o.buckets)), np.append(value, 1.0).astype(np.float32)))
     ys = np.array([classes.index(y) for y in rows.y], np.int64)
     aside = np.random.default_rng(0).random(len(xs)) < o.calibrate
     use = np.flatnonzero(~aside) if (~aside).any() else np.arange(len(xs))
@@ -197,8 +210,8 @@ def fit(docs: DataFrame, learn: Column, o: Options = Options(), body: str = "tex
 def predict(docs: DataFrame, model: Model, body: str = "text") -> DataFrame:
     """docs with lang_pred and score (the calibrated probability of lang_pred).
 
-    Null texts, texts without a letter and models without classes give `und` and 0. Rows are
-    judged one by one, from the whole text alone; an empty table stays empty. Columns of docs
+    Null and empty texts, texts without a letter (digits or signs only) and models without classes
+    give `und` and 0; of languages equally likely the first by name is taken. Rows are judged one by one, from the whole text alone; an empty table stays empty. Columns of docs
     with these names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -224,7 +237,7 @@ def predict(docs: DataFrame, model: Model, body: str = "text") -> DataFrame:
                 p = _softmax(logits / m.temperature)
                 best = p.argmax(axis=1)
                 for i in range(hi - lo):
-                    if texts[lo + i] and LETTER.search(texts[lo + i]):
+                    if texts[lo + i] and any(m.group().isalpha() for m in LETTER.finditer(texts[lo + i])):
                         pred[lo + i], score[lo + i] = m.classes[best[i]], p[i, best[i]]
             return {"lang_pred": pred, "score": score}
 

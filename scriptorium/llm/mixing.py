@@ -1,12 +1,13 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 The words of each source are packed, document after document in a pseudorandom order, into
-blocks of fixed length. A source's quota of slots follows from its target; the slots of each
-source are thrown over the output shards with equal chances, which gives every shard
-multinomial source counts under the condition that the totals meet the quotas (free multinomial
-draws would miss the targets of small sources by their own noise). Counts become ranges of a
-running index, each index goes through the source's pseudorandom permutation of its blocks
-(a new permutation for each pass over the source), and slots and blocks meet in an equi-join.
+blocks of fixed length. A source's quota of slots follows from its target. Every output shard has
+the same number of slots, and each slot draws its source with the quotas as weights, so a shard's
+source counts are multinomial. A source's counts, one shard after another, number its slots. Free
+draws miss the targets of small sources by their own noise, so there is a last step: the slots of
+a source beyond its quota go, in their order, to the sources that fell short. The number of a
+slot goes through the source's pseudorandom permutation of its blocks (a new permutation for each
+pass over the source), and slots and blocks meet in an equi-join.
 
 The last slot of a source may take only the first words of its block, so a source's words come
 to its target rounded to a whole word. No block is used in more passes than the cap.
@@ -21,11 +22,11 @@ from .sharding import bucket_count, shuffle_hash, stratum
 from ..tables import keep
 from .words import JAVA_TOKEN, count_words
 
-PRIME = 2147483647
+PRIME, HIGH = 2147483647, 2147483648
 #: Rounds of the index permutations.
 ROUNDS = 10
-#: Slots are generated in runs, so that the longest array in one row stays short.
-RUN = 4096
+#: Shards whose slots one task makes, and whose counts are summed together.
+RUN = 64
 
 
 def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]) -> DataFrame:
@@ -49,26 +50,36 @@ def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]
     return place.withColumn("__target", F.least(F.col("__most"), F.coalesce(level * F.col("__w"), F.col("__most")))).drop("__free", "__level", "__most")
 
 
-def _swap(n: str, salt: str, div: str) -> tuple[str, str]:
-    """A round's condition and the mirror image of place v, for round i."""
-    key = f"(({salt} * 7919 + i * 1299721 + 12345) % {PRIME} * (i * 48271 + {salt}) % {PRIME})"
-    mirror = f"(({key} % {n} + {n} - v) % {n})"
-    top = f"greatest(v, {mirror})"
-    bit = f"(({top} + i * 7907 + {salt} * 31) % {PRIME} * (({top} * 3 + {salt} * 104729 + i * 611953) % {PRIME}) % {PRIME} {div} 64 % 2)"
-    return f"{bit} = 1", mirror
+def _round(i: str, n: str, salt: str, div: str) -> tuple[str, str, str]:
+    """SQL for round i of a permutation of 0 to n - 1: the mirror image of place v around a key,
+    and from the larger of the two (top) whether they swap. All products stay below 2^63; places
+    above 2^31 take part with their high and their low digits."""
+    a, b = f"(({salt} * 7919 + {i} * 1299721 + 12345) % {PRIME})", f"(({salt} * 104729 + {i} * 611953 + 1) % {PRIME})"
+    mirror = f"((({a} * 48271 % {PRIME}) * {HIGH} + {b} * 69621 % {PRIME}) % {n} + {n} - v) % {n}"
+    mixed = f"((top % {PRIME}) * ({a} % 65536 + 1) + (top {div} {PRIME}) * ({b} % 65536 + 1) + {b}) % {PRIME}"
+    return mirror, mixed, f"(x * ((x + {a}) % {PRIME}) % {PRIME}) {div} 64 % 2 = 1"
 
 
-def permuted(x: str, n: str, salt: str) -> str:
-    """SQL for a pseudorandom permutation of 0 to n - 1: a swap-or-not shuffle. Each round pairs
-    every place with its mirror image around a key, and a bit of the pair decides whether they swap."""
-    swap, mirror = _swap(n, salt, "div")
-    return f"aggregate(sequence(1L, {ROUNDS}L), cast({x} as bigint), (v, i) -> if({swap}, {mirror}, v))"
+def permuted(df: DataFrame, x: str, n: str, salt: str) -> DataFrame:
+    """df with the column v: x through a pseudorandom permutation of 0 to n - 1, a swap-or-not
+    shuffle. Each round pairs every place with its mirror image around a key, and a bit of the pair
+    decides whether they swap. Rounds are projections, which compile to one method. The optimizer
+    would write filters on v out in terms of x, many times longer with each round; it doesn't look
+    into the generator that hands v on."""
+    df = df.withColumn("v", F.col(x).cast("long"))
+    for i in range(1, ROUNDS + 1):
+        mirror, mixed, swap = _round(f"{i}L", n, salt, "div")
+        df = df.withColumn("mirror", F.expr(mirror)).withColumn("top", F.greatest("v", "mirror")).withColumn("x", F.expr(mixed))
+        df = df.withColumn("v", F.expr(f"if({swap}, mirror, v)"))
+    return df.withColumnRenamed("v", "__v").select("*", F.explode(F.array("__v")).alias("v")).drop("mirror", "top", "x", "__v")
 
 
 def permuted_sql(x: str, n: str, salt: str) -> str:
     """The same permutation in DuckDB's SQL."""
-    swap, mirror = _swap(n, salt, "//")
-    return f"list_reduce(list_prepend(cast({x} as bigint), range(1, {ROUNDS + 1})), lambda v, i: case when {swap} then {mirror} else v end)"
+    mirror, mixed, swap = _round("step", n, salt, "//")
+    top = f"greatest(v, {mirror})"
+    swap = swap.replace("(x * ((x + ", f"(({mixed.replace('top', top)}) * ((({mixed.replace('top', top)}) + ")
+    return f"list_reduce(list_prepend(cast({x} as bigint), range(1, {ROUNDS + 1})), lambda v, step: case when {swap} then {mirror} else v end)"
 
 
 def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = (3, 1, 2), block: int = 128, shard_slots: int = 1024, seed: int = 0, text: bool = False, carry: str | None = None, source: str = "source", key: str = "doc_id", body: str = "text") -> DataFrame:
@@ -80,12 +91,13 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[i
     shard, slot and, with text=True, the piece's text with the white space before its words;
     carry names a column of docs to hand on.
 
-    Null sources are one source, the last. Documents without words and empty tables give no
+    Null sources are one source, the last. The list of sources is one row on its way, as weights
+    are given for each. Documents without words and empty tables give no
     pieces. Rows with equal keys are packed in the order of their sizes and text hashes; rows
     equal in all of that are interchangeable. Other columns of docs are not read.
     """
     base = docs.select(
-        docs[key].alias(key), count_words(docs[body]).alias("size"), stratum(docs[source]).alias("__s"), shuffle_hash(docs[key], seed).alias("__h"),
+        docs[key].alias(key), count_words(docs[body]).alias("size"), stratum(docs[source]).alias("__s"), shuffle_hash(docs[key], seed, F.md5(docs[body])).alias("__h"),
         F.md5(docs[body]).alias("__t"), *([docs[body].alias("__text")] if text else []), *([docs[carry].alias("__carried")] if carry else []),
     )
     buckets = bucket_count(docs.count())
@@ -122,40 +134,62 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[i
 
 
 def draw(sources: DataFrame, block: int, shard_slots: int, seed: int) -> DataFrame:
-    """The slots of all output shards: shard, slot, __id, pass, block and take (words of the block)."""
+    """The slots of all output shards: shard, slot, __id, pass, block and take (words of the block).
+    Every shard but the last has shard_slots slots."""
     quota = sources.filter("__size > 0").select("__id", "__size", F.expr("cast(round(__target) as bigint)").alias("__words"))
     quota = quota.withColumns({"__n": F.expr(f"(__size + {block - 1}) div {block}"), "__whole": F.expr(f"__size div {block}"), "__full": F.expr("__words div __size")})
-    quota = quota.withColumn("__q", F.expr(f"__full * __n + (__words - __full * __size + {block - 1}) div {block}"))
-    everything = Window.orderBy("__id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    quota = quota.withColumn("__shards", F.ceil(F.sum("__q").over(everything) / shard_slots)).filter("__q > 0")
-
-    units = quota.select("__id", "__q", "__shards", F.explode(F.expr(f"sequence(0L, (__q - 1) div {RUN})")).alias("__run"))
-    units = units.repartition("__id", "__run")
-    units = units.select("__id", "__shards", F.explode(F.expr(f"sequence(__run * {RUN}, least(__q, (__run + 1) * {RUN}) - 1)")).alias("__i"))
-    chance = shuffle_hash(F.concat_ws(":", "__id", "__i"), seed + 1)
-    thrown = units.select("__id", F.floor(chance * F.col("__shards") / F.lit(4294967296)).alias("shard"))
-    counts = thrown.groupBy("__id", "shard").agg(F.count("*").alias("__c"))
-    upto = F.sum("__c").over(Window.partitionBy("__id").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0))
-    ranges = counts.withColumn("__to", upto).join(quota, "__id")
+    quota = quota.withColumn("__q", F.expr(f"__full * __n + (__words - __full * __size + {block - 1}) div {block}")).filter("__q > 0")
+    shape = quota.agg(F.array_sort(F.collect_list(F.struct("__id", "__q"))).alias("__all"), F.sum("__q").alias("__slots")).filter("__slots > 0")
+    bounds = F.transform("__all", lambda _, i: F.aggregate(F.slice("__all", F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, s: a + s["__q"]) / F.col("__slots"))
+    shape = shape.select("__slots", bounds.alias("__to"), F.expr(f"(__slots + {shard_slots - 1}) div {shard_slots}").alias("__shards"), F.col("__all.__id").alias("__ids"))
+    runs = shape.select("*", F.explode(F.expr(f"sequence(0L, (__shards - 1) div {RUN})")).alias("__run"))
     tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = ranges.repartition(tasks, "shard", "__id")  # few rows here become many slots
-    slots = ranges.select("__id", "shard", "__size", "__n", "__whole", "__full", "__words", F.explode(F.expr("sequence(__to - __c, __to - 1)")).alias("__i"))
+    shards = runs.repartition(tasks, "__run").select("*", F.explode(F.expr(f"sequence(__run * {RUN}, least(__shards, (__run + 1) * {RUN}) - 1)")).alias("shard"))
+    slots = shards.select("__ids", "__to", "__run", "shard", F.explode(F.expr(f"sequence(0L, least({shard_slots}L, __slots - shard * {shard_slots}) - 1)")).alias("slot"))
+    chance = shuffle_hash(F.concat_ws(":", "shard", "slot"), seed + 1) / F.lit(4294967296)
+    # the first source whose share of the running sum of quotas lies above the chance
+    place = F.size(F.filter("__to", lambda t: t <= F.col("__u")))
+    drawn = slots.withColumn("__u", chance).select("__run", "shard", "slot", F.get(F.col("__ids"), place).alias("__id"))
+
+    counts, _ = keep(drawn.groupBy("__id", "__run", "shard").agg(F.count("*").alias("__c")), "mix-counts")
+    upto = lambda w: F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__c")
+    by_run = counts.groupBy("__id", "__run").agg(F.sum("__c").alias("__c"))
+    by_run = by_run.select("__id", "__run", upto(Window.partitionBy("__id").orderBy("__run")).alias("__run_first"))
+    first = counts.withColumn("__first", upto(Window.partitionBy("__id", "__run").orderBy("shard"))).join(by_run, ["__id", "__run"])
+    first = first.select("__id", "shard", (F.col("__first") + F.col("__run_first")).alias("__first"))
+    own = Window.partitionBy("shard", "__id").orderBy("slot")
+    numbered = drawn.withColumn("__i", F.row_number().over(own)).join(first, ["shard", "__id"]).withColumn("__i", F.col("__first") + F.col("__i") - 1)
+
+    # the last step: what a source has beyond its quota, and what the others lack
+    got = quota.join(counts.groupBy("__id").agg(F.sum("__c").alias("__got")), "__id", "left").fillna(0, ["__got"])
+    got = got.withColumns({"__over": F.greatest(F.lit(0), F.col("__got") - F.col("__q")), "__lack": F.greatest(F.lit(0), F.col("__q") - F.col("__got"))})
+    order = Window.orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
+    got = got.withColumns({"__over_first": F.sum("__over").over(order) - F.col("__over"), "__lack_first": F.sum("__lack").over(order) - F.col("__lack")})
+    short, _ = keep(got.select("__id", "__q", "__got", "__over_first", "__lack_first", "__lack"), "mix-short")
+    inside = numbered.join(short.select("__id", "__q", "__over_first"), "__id").withColumn("__spare", F.col("__i") - F.col("__q"))
+    stay = inside.filter("__spare < 0").select("shard", "slot", "__id", "__i")
+    spare = inside.filter("__spare >= 0").select("shard", "slot", (F.col("__over_first") + F.col("__spare")).alias("__r"))
+    wanted = short.filter("__lack > 0").select(F.col("__id"), F.explode(F.expr("sequence(0L, __lack - 1)")).alias("__j"), "__got", "__lack_first")
+    wanted = wanted.select("__id", (F.col("__got") + F.col("__j")).alias("__i"), (F.col("__lack_first") + F.col("__j")).alias("__r"))
+    slots = stay.union(spare.join(wanted, "__r").select("shard", "slot", "__id", "__i"))
+
+    slots = slots.join(quota.select("__id", "__size", "__n", "__whole", "__full", "__words"), "__id")
     slots = slots.withColumns({"pass": F.expr("__i div __n"), "__j": F.expr("__i % __n")})
     # the short block at a source's end stays last, so the words before an index are known
-    salt = f"(__id * 2 + pass + {seed % 1000} * 1009)"
-    slots = slots.withColumn("block", F.expr(f"if(__j < __whole, {permuted('__j', '__whole', salt)}, __j)"))
+    slots = permuted(slots.withColumn("__m", F.greatest(F.lit(1), F.col("__whole"))), "__j", "__m", f"(__id * 2 + pass + {seed % 1000} * 1009)")
+    slots = slots.withColumn("block", F.expr("if(__j < __whole, v, __j)"))
     length = f"if(block < __whole, {block}L, __size - __whole * {block}L)"
     slots = slots.withColumn("take", F.expr(f"if(pass < __full, {length}, least({length}, __words - __full * __size - __j * {block}L))"))
-    mixed = Window.partitionBy("shard").orderBy(shuffle_hash(F.concat_ws(":", "__id", "__i"), seed + 2), "__id", "__i")
-    return slots.withColumn("slot", F.row_number().over(mixed) - 1).select("__id", "block", "pass", "take", "shard", "slot")
+    return slots.select("__id", "block", "pass", "take", "shard", "slot")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
     """One row per row of docs: key, size, source_size, target, taken (words that the mix takes,
-    repeats counted)."""
+    repeats counted) and first_shard (the first output shard that takes some; null where none does)."""
     key = options.get("key", "doc_id")
     use = plan(docs, **options)
-    return use.groupBy("__row", key, "size", "source_size", "target").agg(F.sum("words").alias("taken")).drop("__row")
+    first = F.min(F.when(F.col("words") > 0, F.col("shard"))).alias("first_shard")
+    return use.groupBy("__row", key, "size", "source_size", "target").agg(F.sum("words").alias("taken"), first).drop("__row")
 
 
 def blocks(docs: DataFrame, **options) -> DataFrame:

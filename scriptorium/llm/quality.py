@@ -50,18 +50,18 @@ def repeats(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
     _, rank = np.unique(doc.astype(np.int64) * (int(ids.max()) + 1) + ids, return_inverse=True)
     order = np.argsort(rank, kind="stable")
     rank, tied, order = _regroup(rank[order], order, np.arange(n))
-    levels = [rank]
+    small = np.int32 if n < 1 << 31 else np.int64  # one array for each doubling is kept
+    levels = [rank.astype(small)]
     width = 1
     full = order
     while len(tied):
         at = full[tied]
         after = at + width
         inside = after < end[at]
-        second = np.where(inside, levels[-1][np.minimum(after, n - 1)], -1)
-        key = levels[-1][at] * (n + 1) + second + 1
+        second = np.where(inside, levels[-1][np.minimum(after, n - 1)], -1).astype(np.int64)
+        key = levels[-1][at].astype(np.int64) * (n + 1) + second + 1
         sort = np.argsort(key, kind="stable")
         key, at = key[sort], at[sort]
-        full = full.copy()
         full[tied] = at
         new = levels[-1].copy()
         first = np.concatenate(([True], key[1:] != key[:-1]))

@@ -77,7 +77,7 @@ from captures c left join verdict v using (page_id)
 
 def op2_source_mixing(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    return mixing.taken(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken(docs).select("doc_id", "size", "source_size", "target", "taken", "first_shard")
 
 
 def op3_benchmark_decontamination(spark, sf_dir):
@@ -139,30 +139,42 @@ def op10_sharding(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-_HASH = "cast('0x' || substr(md5('0:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint)"
+def _hash(*parts: str, seed: int = 0) -> str:
+    return f"cast('0x' || substr(md5('{seed}:' || " + " || ':' || ".join(f"coalesce(cast({p} as varchar), '')" for p in parts) + "), 1, 8) as bigint)"
+
+
 OP2_SQL = rf"""
-with docs as (select doc_id, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size, coalesce('s' || source, 'n') as s, {_HASH} as h, md5(text) as t from documents),
+with docs as (select doc_id, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size, coalesce('s' || source, 'n') as s, {_hash('doc_id', 'md5(text)')} as h, md5(text) as t from documents),
 placed as (select *, cast(sum(size) over (partition by s order by h nulls first, doc_id nulls first, size, t nulls first rows unbounded preceding) as bigint) - size as start from docs),
 sources as (select *, [3.0, 1.0, 2.0][id % 3 + 1]::double as w, 2.0::double * total as most from (select s, cast(sum(size) as bigint) as total, row_number() over (order by starts_with(s, 'n'), s) - 1 as id from docs group by s)),
 levels as (select *, (1.5::double * sum(total) over () - (sum(most) over u - most)) / (sum(w) over () - (sum(w) over u - w)) as level from sources window u as (order by most / w, id rows unbounded preceding)),
 targets as (select *, least(most, coalesce((select level from levels where level * w <= most order by most / w, id limit 1) * w, most)) as target from levels),
-quotas as (select *, cast(round(target) as bigint) as words, total // 128 as whole, case when total > 0 then cast(round(target) as bigint) // total else 0 end as passes from targets),
-slots as (select *, words - passes * total as rest, unnest(range((words - passes * total + 127) // 128)) as j from quotas where total > 0),
-taken_blocks as (select s, case when j < whole then {mixing.permuted_sql("j", "whole", "(id * 2 + passes)")} else j end as block, j, rest, whole, total from slots),
-takes as (select s, block, least(case when block < whole then 128 else total - whole * 128 end, rest - j * 128) as take from taken_blocks),
-part as (select p.s, p.start, p.doc_id, sum(greatest(0, least(p.start + p.size, b.block * 128 + b.take) - greatest(p.start, b.block * 128))) as words
+quotas as (select *, cast(round(target) as bigint) as words, total // 128 as whole, (total + 127) // 128 as n, case when total > 0 then cast(round(target) as bigint) // total else 0 end as full_passes from targets),
+wanted as (select *, sum(q) over (order by id) / sum(q) over () as upto from (select *, full_passes * n + (words - full_passes * total + 127) // 128 as q from quotas where total > 0) where q > 0),
+slots as (select shard, slot, (select min_by(id, upto) from wanted where upto > u) as id from (
+  select g // 1024 as shard, g % 1024 as slot, {_hash('g // 1024', 'g % 1024', seed=1)} / 4294967296.0::double as u from (select unnest(range((select cast(sum(q) as bigint) from wanted))) as g))),
+numbered as (select *, row_number() over (partition by id order by shard, slot) - 1 as i from slots),
+counted as (select id, q, coalesce(got, 0) as got from wanted left join (select id, count(*) as got from slots group by id) using (id)),
+spare as (select shard, slot, row_number() over (order by id, i) as r from numbered join counted using (id) where i >= q),
+lacking as (select id, got + j as i, row_number() over (order by id, j) as r from (select id, got, unnest(range(q - got)) as j from counted where q > got)),
+final as (select shard, id, i from numbered join counted using (id) where i < q union all select shard, id, i from spare join lacking using (r)),
+used as (select f.shard, w.s, i // n as pass, i % n as j, whole, total, full_passes, words, case when i % n < whole then {mixing.permuted_sql("(i % n)", "greatest(1, whole)", "(f.id * 2 + i // n)")} else i % n end as block from final f join wanted w on w.id = f.id),
+takes as (select s, shard, block, case when pass < full_passes then len else least(len, words - full_passes * total - j * 128) end as take from (select *, case when block < whole then 128 else total - whole * 128 end as len from used)),
+part as (select p.s, p.start, p.doc_id, sum(greatest(0, least(p.start + p.size, b.block * 128 + b.take) - greatest(p.start, b.block * 128))) as words,
+    min(b.shard) filter (where least(p.start + p.size, b.block * 128 + b.take) > greatest(p.start, b.block * 128)) as first_shard
   from placed p join takes b on b.s = p.s and b.block between p.start // 128 and (p.start + p.size - 1) // 128 where p.size > 0 group by all)
-select p.doc_id, p.size, q.total as source_size, q.target, cast(q.passes * p.size + coalesce(part.words, 0) as bigint) as taken
+select p.doc_id, p.size, q.total as source_size, q.target, cast(coalesce(part.words, 0) as bigint) as taken, cast(first_shard as bigint) as first_shard
 from placed p join quotas q using (s) left join part on part.s = p.s and part.start = p.start and part.doc_id is not distinct from p.doc_id and p.size > 0
 """
 _CRC_STEP = "list_reduce(list_prepend(n, range(8)), lambda a, k: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end)"
 OP10_SQL = f"""
 with steps as (select list_transform(range(256), lambda n: {_CRC_STEP}) as t),
 docs as (
-  select doc_id, coalesce('s' || source, 'n') as s, {_HASH} as h, cast(coalesce(strlen(text), 0) + 16 as bigint) as size,
+  select doc_id, coalesce('s' || source, 'n') as s, cast(coalesce(strlen(text), 0) + 16 as bigint) as size,
     xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: cast('0x' || x as bigint))), lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), cast(4294967295 as bigint)) as text_crc32
   from documents, steps),
-ranked as (select *, row_number() over (partition by s order by h, doc_id nulls first, size, text_crc32) as r, count(*) over (partition by s) as n, count(*) over () as total from docs),
+hashed as (select *, {_hash('doc_id', 'size', 'text_crc32')} as h from docs),
+ranked as (select *, row_number() over (partition by s order by h, doc_id nulls first, size, text_crc32) as r, count(*) over (partition by s) as n, count(*) over () as total from hashed),
 placed as (select *, row_number() over (order by (2 * r - 1)::double / (2 * n), s) - 1 as pos from ranked)
 select doc_id, size, text_crc32, 'rows' as law, cast(pos * 40 // total as integer) as shard, cast(pos - (pos * 40 // total * total + 39) // 40 as bigint) as slot, cast(null as integer) as grown_shard from placed
 """

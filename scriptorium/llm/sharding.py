@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 BUCKET_ROWS, MOST_BUCKETS = 1000, 65536
 
 
-def shuffle_hash(key: Column, seed: int) -> Column:
-    """A 32-bit hash of the key's text (null: empty) that any SQL engine with md5 can repeat."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+def shuffle_hash(key: Column, seed: int, *more: Column) -> Column:
+    """A 32-bit hash of the key's text (null: empty) that any SQL engine with md5 can repeat. More
+    columns keep rows with equal keys apart."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (key, *more)]
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws(":", *parts))), 1, 8), 16, 10).cast("long")
 
 
 def bucket_count(rows: int, least: int = 16) -> int:
@@ -37,14 +38,14 @@ def stratum(source: Column) -> Column:
 def interleave(docs: DataFrame, shards: int, seed: int = 0, source: str = "source", key: str = "doc_id", ties: tuple[str, ...] = ()) -> DataFrame:
     """Adds shard (0 to shards - 1) and slot (gapless from 0 in each shard) to all columns of docs.
 
-    Shard row counts are at most one apart. Null sources are a stratum; null keys share one place
-    in the shuffle. Rows with equal keys are ordered by the columns in ties; rows equal in those
-    too are interchangeable. An empty table gives an empty table. The columns added here replace
+    Shard row counts are at most one apart. Null sources are a stratum. The shuffle follows a hash
+    of the key (null: empty) and of the columns in ties, so very many rows with one key are spread;
+    rows equal in all of these are interchangeable. An empty table gives an empty table. The columns added here replace
     columns of docs with the same names; names that start with `__` are reserved.
     """
     rows = docs.count()
     buckets = bucket_count(rows)
-    base = docs.drop("shard", "slot").withColumns({"__s": stratum(docs[source]), "__h": shuffle_hash(docs[key], seed)})
+    base = docs.drop("shard", "slot").withColumns({"__s": stratum(docs[source]), "__h": shuffle_hash(docs[key], seed, *[docs[c] for c in ties])})
     base = base.withColumn("__b", F.expr(f"(__h * {buckets}) div 4294967296"))
 
     counts = base.groupBy("__s", "__b").agg(F.count("*").alias("__c"))

@@ -156,7 +156,9 @@ class Encoder:
         from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # a text that holds an added token's string goes through the whole tokenizer
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) if added else r"(?!)")
         self.model = Tokenizer(self.tokenizer.model)
         self.model.pre_tokenizer = CharDelimiterSplit("\n")
         self.alphabet = {b: c for b, c in _byte_alphabet().items() if b != 10}
@@ -208,7 +210,7 @@ class Encoder:
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         if not texts:
             return []
-        whole = [not t or bool(_UNSAFE.search(t)) for t in texts]
+        whole = [not t or bool(_UNSAFE.search(t) or self.added.search(t)) for t in texts]
         lists = pc.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole, strict=True)], pa.string()), " ")
         coded = lists.flatten().dictionary_encode()
         offsets, codes = lists.offsets.to_numpy(), coded.indices.to_numpy()
@@ -252,19 +254,21 @@ def encoder(path: str) -> Encoder:
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files: int | None = None, group_chars: int = 10_000_000, cache: int = CACHE, key: str = "doc_id", body: str = "text") -> DataFrame:
-    """Writes all documents as token files into folder and returns the manifest: file, seq (order
-    of the files), documents, ids and first_id (ids of all files before).
+    """Writes all documents as token files into folder and returns the manifest: file, part
+    and seq (the order of the files), documents, ids and first_id (ids of all files before).
 
     Texts of group_chars characters together are encoded at once and the ids of `cache` segments
     kept between them: both trade memory of a task for time.
 
-    Null texts have the end id alone. Null keys come first; rows with equal keys are ordered by
-    text. An empty table gives no file. Files go to their final names by rename, so a task that
+    Keys are integers. Null texts have the end id alone. Null keys come first; rows with equal keys
+    are ordered by a hash of their texts and then by the texts, so that a key which very many rows
+    share is dealt over several files. Other columns are not read. An empty table gives no file. Files go to their final names by rename, so a task that
     runs again leaves the same files; the folder must be shared by all machines.
     """
     spark = docs.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(docs[key].cast("long").alias("k"), docs[body].alias("t")).repartitionByRange(files, F.col("k")).sortWithinPartitions("k", "t")
+    rows = docs.select(docs[key].cast("long").alias("k"), docs[body].alias("t"), F.xxhash64(docs[body]).alias("h"))
+    ordered = rows.repartitionByRange(files, "k", "h").sortWithinPartitions("k", "h", "t").select("k", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -280,7 +284,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files:
             name = f"part-{part:07d}-{len(made):05d}.pfor"
             counts = np.array([len(x) for x in ids], np.int64)
             _put(folder, name, attempt, encode_file(keys, counts, np.concatenate(ids)))
-            made.append((name, part * 100000 + len(made), len(keys), int(counts.sum())))
+            made.append((name, part, len(made), len(keys), int(counts.sum())))
             keys, ids, total = [], [], 0
 
         for batch in batches:
@@ -297,12 +301,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files:
         trim()
         if made:
             columns = list(zip(*made, strict=True))
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["file", "seq", "documents", "ids"])
-
-    manifest, _ = keep(ordered.mapInArrow(run, "file string, seq long, documents long, ids long"), "token-manifest")
-    before = F.sum("ids").over(Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)) - F.col("ids")
-    return manifest.withColumn("first_id", before)
+            kinds = (pa.string(), *[pa.int64()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["file", "part", "seq", "documents", "ids"])
+
+    manifest, _ = keep(ordered.mapInArrow(run, "file string, part long, seq long, documents long, ids long"), "token-manifest")
+    # running sums first over the tasks that wrote, then over the files of each
+    upto = lambda w: F.sum("ids").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("ids")
+    parts = manifest.groupBy("part").agg(F.sum("ids").alias("ids")).select("part", upto(Window.orderBy("part")).alias("before"))
+    return manifest.join(parts, "part").withColumn("first_id", F.col("before") + upto(Window.partitionBy("part").orderBy("seq"))).drop("before")
 
 
 def _put(folder: str, name: str, attempt: int, data: bytes) -> None:

@@ -3,7 +3,8 @@
 A sentence's probability is a logistic function of its words' weights, where a word has hashed
 features for itself and for its first three, four and five letters. A document is toxic if any
 sentence is: its probability is the noisy-or 1 - product(1 - p). Training maximises the document
-labels' likelihood on a bounded sample (an expected `per_class` documents of each label); the
+labels' likelihood on a bounded sample (an expected `per_class` documents of each label, with at
+most `chars` characters together, so that what comes to the driver has a bound in bytes); the
 gradient reaches sentences through the noisy-or, so they are located without labels of their own.
 """
 
@@ -32,6 +33,7 @@ STOPS, LONGEST = (b".", b"!", b"?"), 64
 class Options:
     buckets: int = 1 << 18
     per_class: int = 3000
+    chars: int = 12_000_000
     rounds: int = 300
     rate: float = 0.2
     l1: float = 3e-4
@@ -88,8 +90,20 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, o: Options = Options(
     rate = F.create_map(*[F.lit(v) for c in sorted(counts) for v in (c, min(1.0, o.per_class / counts[c]) * 2**32)])
     # the sample's size is bounded by the parameter, so it may be sent to every task
     sample = F.broadcast(known.filter(shuffle_hash(F.col("k"), 9) < rate[F.col("y")]))
-    rows = docs.select(docs[key].alias("k"), docs[body].alias("t")).join(sample, "k").filter("t is not null").toPandas()
-    rows = rows.sort_values(["k", "t"], ignore_index=True)
+    texts = docs.select(docs[key].alias("k"), docs[body].alias("t")).filter("t is not null").withColumn("h", F.xxhash64("t"))
+    drawn = texts.join(sample, "k").select("k", "y", "h", F.length("t").alias("chars")).toPandas().sort_values(["k", "h"], ignore_index=True)
+    use = np.zeros(len(drawn), bool)
+    for label_rows in drawn.groupby("y").groups.values():
+        room = o.chars
+        for i in label_rows:
+            if drawn.chars[i] <= room:
+                use[i], room = True, room - drawn.chars[i]
+    if drawn.y[use].nunique() < 2:
+        return none
+    spark = docs.sparkSession
+    chosen = F.broadcast(spark.createDataFrame(drawn[["k", "h", "y"]][use].drop_duplicates()))
+    rows = texts.join(chosen, ["k", "h"]).select("k", "h", "y", "t").toPandas()
+    rows = rows.sort_values(["k", "h"], ignore_index=True)
     if rows.y.nunique() < 2:
         return none
 

@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
+from tokenizers import Tokenizer
 
 from scriptorium.llm import components, decontaminate, jaccard_join, langid, mixing, passages, quality, sharding, token_files, toxicity, url_filter
 from scriptorium.llm.queries import tokenizer_path
@@ -86,9 +88,37 @@ def test_mix_is_made_of_blocks_and_reruns_agree(spark):
 
 
 def test_permutation_is_a_bijection(spark):
-    for n in (1, 2, 3, 10, 97, 1000):
-        got = spark.range(n).selectExpr(f"{mixing.permuted('id', f'{n}L', '5L')} as p").toPandas().p
-        assert sorted(got) == list(range(n))
+    sizes = (1, 2, 3, 10, 97, 1000)
+    frame = spark.createDataFrame([(n, i) for n in sizes for i in range(n)], "n long, i long")
+    got = mixing.permuted(frame, "i", "n", "5L").toPandas()
+    assert all(sorted(g.v) == list(range(n)) for n, g in got.groupby("n")) and (got.i != got.v).mean() > 0.9
+    n = 3 * 10**12  # far beyond 2^31: no repeats, places that a multiple of 2^31 - 1 parts are not moved alike
+    frame = spark.createDataFrame([(n, i + k * 2147483647) for i in range(100) for k in range(10)], "n long, i long")
+    got = mixing.permuted(frame, "i", "n", "5L").toPandas().v.to_numpy()
+    assert len(set(got)) == 1000 and got.min() >= 0 and got.max() < n and abs(got.mean() / n - 0.5) < 0.06 and Counter(np.diff(got.reshape(100, 10)).ravel().tolist()).most_common(1)[0][1] < 45
+
+
+def test_mix_counts_of_shards(spark):
+    """Brute force of the draw: every slot's source by its hash, the surplus to the sources that fell short."""
+    import hashlib
+
+    quotas = {0: 700, 1: 150, 2: 31, 4: 3}
+    sources = spark.createDataFrame([(i, q * 8, q * 8.0) for i, q in quotas.items()] + [(3, 0, 0.0)], "__id long, __size long, __target double")
+    slots = mixing.draw(sources, 8, 64, 0).toPandas()
+    total, ids = sum(quotas.values()), sorted(quotas)
+    upto = np.cumsum([quotas[i] for i in ids]) / total
+    drawn = {}
+    for g in range(total):
+        u = int(hashlib.md5(f"1:{g // 64}:{g % 64}".encode()).hexdigest()[:8], 16) / 2**32
+        drawn[g // 64, g % 64] = ids[int(np.searchsorted(upto, u, "right"))]
+    got = Counter(drawn.values())
+    spare = [k for i in ids for k in [k for k in sorted(drawn) if drawn[k] == i][quotas[i] :]]
+    short = [i for i in ids for _ in range(quotas[i] - got[i])]
+    assert spare and len(spare) == len(short)
+    want = drawn | dict(zip(spare, short, strict=True))
+    assert {(x.shard, x.slot): x["__id"] for _, x in slots.iterrows()} == want
+    assert slots.groupby("shard").size().tolist() == [64] * (total // 64) + [total % 64] * bool(total % 64)
+    assert all(sorted(g.block) == list(range(quotas[i])) for i, g in slots.groupby("__id"))
 
 
 def test_mix_odd_rows(odd, none):
@@ -367,20 +397,22 @@ def test_block_round_trip(n):
 
 def test_encoder_equals_tokenizer():
     e, r = token_files.Encoder(tokenizer_path()), random.Random(11)
-    signs = ["a", "Word", " ", "  ", "\n", "\t", " ", "'s", " the", "12", "é", "🙂", "!", "\r\n", "\x1c", " ", "²", "_", ",", "中", ".", "%"]
+    signs = ["<|endoftext|>", "<|end", "a", "Word", " ", "  ", "\n", "\t", " ", "'s", " the", "12", "é", "🙂", "!", "\r\n", "\x1c", " ", "²", "_", ",", "中", ".", "%"]
     texts = ["".join(r.choice(signs) for _ in range(r.randrange(0, 14))) for _ in range(4000)] + [None, ""]
+    fresh = Tokenizer.from_file(tokenizer_path())
     for got, t in zip(e(texts), texts, strict=True):
-        assert got.tolist() == e.tokenizer.encode(t or "", add_special_tokens=False).ids
+        assert got.tolist() == fresh.encode(t or "", add_special_tokens=False).ids
 
 
 def test_token_files(spark, odd, none):
-    frame = odd.union(spark.createDataFrame([(k, t, *_) for k, t, *_ in docs(12, 80)], SCHEMA)).repartition(5)
+    frame = odd.union(spark.createDataFrame([(k, t, *_) for k, t, *_ in docs(12, 80)] + [(99, "a <|endoftext|> b<|endoftext|>", None, None, 0)], SCHEMA)).repartition(5)
     out = token_files.round_trip(frame, tokenizer_path(), files=4).toPandas()
-    e = token_files.Encoder(tokenizer_path())
-    rows = sorted(((r.doc_id, r.text) for r in frame.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, (x[1] or "").encode()))
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    signed = lambda t: 42 if t is None else (xxhash.xxh64_intdigest(t.encode(), 42) + 2**63) % 2**64 - 2**63
+    rows = sorted(((r.doc_id, r.text) for r in frame.collect()), key=lambda x: (x[0] is not None, x[0] or 0, signed(x[1]), (x[1] or "").encode()))
     at, want = 0, []
     for k, t in rows:
-        ids = np.append(e.tokenizer.encode(t or "", add_special_tokens=False).ids, 2).astype("<u4")
+        ids = np.append(tokenizer.encode(t or "", add_special_tokens=False).ids, 2).astype("<u4")
         want.append((at, len(ids), zlib.crc32(ids.tobytes()), k))
         at += len(ids)
     got = sorted((int(x.start), int(x.n_tokens), int(x.ids_crc32), None if np.isnan(x.doc_id) else int(x.doc_id)) for x in out.itertuples())
@@ -400,6 +432,10 @@ def test_language_id(spark, odd, none):
     assert np.mean([x.lang_pred == x.lang for x in out if x.doc_id % 4 == 0]) > 0.95 and all(0 <= x.score <= 1 for x in out)
     strange = langid.predict(odd, model).toPandas()
     assert len(strange) == len(ODD) and (strange.lang_pred[strange.text.isna()] == "und").all() and langid.predict(none, model).count() == 0
+    signs = spark.createDataFrame([(1, "", "old"), (2, "12 34 ²", "old"), (3, "!? -- _", "old"), (4, "kalo", "old")], "doc_id long, text string, lang_pred string")
+    assert {x.doc_id: (x.lang_pred, x.score) for x in langid.predict(signs, model).collect() if x.doc_id < 4} == {k: ("und", 0.0) for k in (1, 2, 3)}
+    many = spark.createDataFrame([(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} x", f"l{i}") for i in range(1100)], "doc_id long, text string, lang string")
+    assert len(langid.fit(many, many.doc_id >= 0, langid.Options(buckets=256, epochs=1, per_class=1)).classes) == 1100
     assert set(langid.predict(odd, langid.fit(none, none.doc_id > 0)).toPandas().lang_pred) == {"und"}
 
 
@@ -424,6 +460,9 @@ def test_toxicity(spark, odd, none):
             assert b"vilest" in b" ".join(words(x.text)[s.begin : s.end])
     strange = toxicity.score(odd, model).toPandas()
     assert len(strange) == len(ODD) and strange.score.between(0, 1).all() and (strange.score[strange.text.isna()] == 0).all()
+    few = toxicity.fit(frame, tags, tags.doc_id % 5 != 0, toxicity.Options(chars=4000))
+    assert not np.array_equal(few.weights, model.weights) and few.weights.any()
+    assert toxicity.fit(frame, tags, tags.doc_id % 5 != 0, toxicity.Options(chars=10)).weights.any() == np.False_
     assert toxicity.score(none, model).count() == 0 and toxicity.score(odd, toxicity.fit(none, tags, tags.doc_id > 0)).count() == len(ODD)
 
 

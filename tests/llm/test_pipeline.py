@@ -33,3 +33,14 @@ def test_empty(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_by_row(spark):
+    """Null and repeated keys: rows are told apart by key and text, and other columns follow their row."""
+    r = random.Random(2)
+    text = lambda n: " ".join(f"u{r.randrange(10**6)}" for _ in range(n))
+    a, b, c, d = (text(60) for _ in range(4))
+    rows = [(None, a, "x"), (None, a, "y"), (None, b, "x"), (None, c, "x"), (None, c + " more", "x"), (None, "", "x"), (None, "", "x"), (None, None, "x"), (7, c, "z"), (7, d, "z"), (8, d + " end", "z"), (7, d, "w"), (9, None, "z")]
+    docs = spark.createDataFrame([(k, t, "en", s, 0) for k, t, s in rows], "doc_id long, text string, lang string, source string, __c long")
+    got = sorted(((x.doc_id, x.text, x.source) for x in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(None, a, "x"), (None, b, "x"), (7, c, "z"), (7, d, "w"), (None, "", "x"), (None, "", "x"), (None, None, "x"), (9, None, "z")], key=str)
