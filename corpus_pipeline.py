@@ -21,13 +21,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents that links connect, the one with the smallest doc_id stays; documents
-    with a null doc_id or without words stay as they are. Of rows that share that doc_id all
-    stay, except where their texts are equal too: of those, one does."""
-    linked = jaccard_join.link(docs).filter("component_id is not null and component_id <> doc_id")
-    linked, _ = keep(linked.select("doc_id").distinct(), "duplicates")
-    left = docs.join(linked, "doc_id", "left_anti").select(*docs.columns)
-    return left.dropDuplicates(["doc_id", "text"])
+    """Of the documents that links connect one stays: the one with the smallest doc_id (null last),
+    then the smallest text hash. Each row is judged by its own text, whatever rows share its
+    doc_id; of rows equal in both one stays, and rows without words all stay."""
+    return jaccard_join.representatives(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
