@@ -343,7 +343,7 @@ def _links(dense: DataFrame, paths: list[str]) -> tuple[DataFrame, list[str]]:
     may = f"{NUM + DEN} * (inter + xa + xb) >= {NUM} * (lowa + lowb) and (severala or severalb)"
     # groups that links already connect need not be opened
     known = stars.select("a", "b").union(leaders.filter("linked").select("a", "b"))
-    labels, labels_at = keep(components(known), "known-labels")
+    labels = components(known)
     own = lambda k: labels.select(F.col("v").alias(k), F.col("label").alias(f"of{k}"))
     far = far.filter(may).join(own("a"), "a", "left").join(own("b"), "b", "left").filter("coalesce(ofa, a) <> coalesce(ofb, b)")
     opened, opened_at = keep(far.select("a", "b", "inter", "xa", "lowa", "xb", "lowb"), "opened")
@@ -363,4 +363,4 @@ def _links(dense: DataFrame, paths: list[str]) -> tuple[DataFrame, list[str]]:
     near, near_at = keep(near, "opened-pairs")
     inner, inner_at = keep(_compare(near, dense).filter("linked").select("a", "b"), "inner")
     edges = known.union(inner)
-    return edges, [*paths, group_at, cells_at, pairs_at, leaders_at, beyond_at, labels_at, opened_at, near_at, inner_at]
+    return edges, [*paths, group_at, cells_at, pairs_at, leaders_at, beyond_at, opened_at, near_at, inner_at]

@@ -411,7 +411,7 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
         links, links_at = _links(*_again(dense))
         edges = edges.union(links)
         edges_at += [dense_at, *links_at]
-    labels, labels_at = keep(components(edges), "labels")
+    labels = components(edges)
 
     # every paragraph of a content that occurs again or belongs to a component
     single = asked.join(shingles.select(*which, "content"), which).join(labels.select(F.col("v").alias("content")), "content", "left_semi")
@@ -429,5 +429,5 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     placed = placed.withColumn("span", F.sum(F.coalesce(fresh.cast("int"), F.lit(1))).over(order))
     out = placed.groupBy("did", "key", "span").agg(F.min("begin").alias("begin"), (F.max("begin") + o.size).alias("end"), F.min("cluster").alias("cluster"), F.first("removed").alias("removed"))
     out, _ = keep(out.select(F.col("key").alias(key), "begin", "end", "cluster", "removed", F.col("did").alias("__doc")), "spans")
-    drop(spark, found_at, shingles_at, *edges_at, labels_at, member_at, named_at, cluster_at)
+    drop(spark, found_at, shingles_at, *edges_at, member_at, named_at, cluster_at)
     return out
