@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +19,6 @@ from .offsets import utf16_offset
 MARKED = r"(?s)^(.*?)\[\[(.*?)\]\](.*)$"
 
 
-@F.pandas_udf(T.StringType())
-def nfc(text: pd.Series) -> pd.Series:
-    """Unicode normalization form C, for which Spark has no function."""
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
-
-
 def marked(quoted: Column) -> Column:
     """Exactly one opening and one closing marker."""
     return (F.regexp_count(quoted, F.lit(r"\[\[")) == 1) & (F.regexp_count(quoted, F.lit(r"\]\]")) == 1) & quoted.rlike(MARKED)
@@ -82,9 +78,11 @@ def locate(quoted: str | None, text: str | None) -> tuple[int, int] | None:
     return None
 
 
-def _form(text: str, collapse: bool) -> tuple[str, list[int]]:
+def _form(text: str, collapse: bool) -> tuple[str, list[int] | range]:
     """The text in form C, white space collapsed or not, and for each of its characters (and its
     end) the place in the given text."""
+    if not collapse and unicodedata.is_normalized("NFC", text):
+        return text, range(len(text) + 1)
     out, back, at = [], [], 0
     # a character and the marks that follow it are normalized together
     for piece in re.findall(r"(?s).[̀-ͯ᪰-᫿᷀-᷿⃐-⃿︠-︯]*", text):
@@ -99,32 +97,46 @@ def _form(text: str, collapse: bool) -> tuple[str, list[int]]:
     return "".join(out), [*back, len(text)]
 
 
+def letter_bound(needle: str, text: str) -> np.ndarray:
+    """For every window of the needle's length, an upper bound of its similarity: the letters that
+    it has in common with the needle in any order, as a share. One running count for each letter."""
+    n = len(needle)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    common = np.zeros(len(codes) - n + 1, np.int64)
+    for letter, most in Counter(needle).items():
+        upto = np.concatenate(([0], np.cumsum(codes == ord(letter))))
+        common += np.minimum(upto[n:] - upto[:-n], most)
+    return common / n
+
+
 def best_window(needle: str, text: str, threshold: float) -> int | None:
     """The first place of the window of the needle's length that is most like it, if like enough.
-    Needles of 100 characters or more are tried at every fifth place and then around the best."""
+    Needles of 100 characters or more are tried at every fifth place and then around the best.
+    Windows are compared in the order of their upper bounds, until no other can be better."""
     n = len(needle)
     if not n or n > len(text):
         return None
     if (exact := text.find(needle)) >= 0:
         return exact
-    matcher = SequenceMatcher(None, autojunk=True)
-    matcher.set_seq2(needle)
-    places = range(len(text) - n + 1)
-
-    def score(p: int, least: float) -> float:
-        matcher.set_seq1(needle)
-        matcher.set_seq2(text[p : p + n])
-        return matcher.ratio() if matcher.real_quick_ratio() > least and matcher.quick_ratio() > least else 0.0
+    bound = letter_bound(needle, text)
+
+    def best_of(places: np.ndarray, best: float, at: int | None) -> tuple[float, int | None]:
+        """The best of the places and of (best, at); of equals the first."""
+        for p in places[np.argsort(-bound[places], kind="stable")].tolist():
+            if bound[p] < best:
+                break
+            s = SequenceMatcher(None, needle, text[p : p + n], autojunk=True).ratio()
+            if s > best or s == best and at is not None and p < at:
+                best, at = s, p
+        return best, at
 
     stride = 1 if n < 100 else 5
-    best, at = 0.0, None
-    for p in places[::stride]:
-        if (s := score(p, best)) > best:
-            best, at = s, p
+    places = np.arange(0, len(bound), stride)
+    best, at = best_of(places[bound[places] >= threshold], 0.0, None)
     if at is None or best < threshold:
         return None
-    if stride > 1:
-        for p in places[max(0, at - stride) : at + stride + 1]:
-            if (s := score(p, best)) > best:
-                best, at = s, p
+    if stride > 1:  # around the best one only a better one counts
+        near = np.arange(max(0, at - stride), min(len(bound), at + stride + 1))
+        better, place = best_of(near, best, None)
+        at = place if better > best else at
     return at

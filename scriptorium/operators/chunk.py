@@ -83,27 +83,3 @@ def manifest(members: DataFrame, budget: Budget) -> DataFrame:
     )
     out = out.withColumn("total_tokens", F.col("primary_tokens") + F.col("context_before_tokens") + F.col("context_after_tokens"))
     return out.withColumns({"is_within_hard_max": F.col("total_tokens") <= budget.hard_max_tokens, "allowed_overflow": (F.col("total_tokens") > budget.hard_max_tokens) & (F.col("primary_unit_count") == 1)})
-
-
-def shift_boundary(packed: DataFrame, fixes: DataFrame) -> DataFrame:
-    """fixes(doc_id, left_index, move): move > 0 takes that many units from the head of the next
-    chunk into this one, move < 0 as many from its tail into the next. All boundaries of fixes are
-    taken as they were before; the last unit of a donor stays where a move asks for more."""
-    size = packed.groupBy("doc_id", "chunk_index").agg(F.min("order_index").alias("first"), F.max("order_index").alias("last"))
-    at = fixes.join(size.select("doc_id", F.col("chunk_index").alias("left_index"), F.col("first").alias("lf"), F.col("last").alias("ll")), ["doc_id", "left_index"])
-    at = at.join(size.select("doc_id", (F.col("chunk_index") - 1).alias("left_index"), F.col("last").alias("rl")), ["doc_id", "left_index"])
-    cut = F.greatest(F.col("lf"), F.least(F.col("rl") - 1, F.col("ll") + F.col("move")))
-    cuts = at.select("doc_id", "left_index", cut.alias("cut"))
-    left = cuts.select("doc_id", F.col("left_index").alias("chunk_index"), F.col("cut").alias("own_cut"))
-    right = cuts.select("doc_id", (F.col("left_index") + 1).alias("chunk_index"), F.col("cut").alias("before_cut"))
-    moved = packed.join(left, ["doc_id", "chunk_index"], "left").join(right, ["doc_id", "chunk_index"], "left")
-    step = F.when(F.col("order_index") > F.col("own_cut"), 1).when(F.col("order_index") <= F.col("before_cut"), -1).otherwise(0)
-    return moved.withColumn("chunk_index", F.col("chunk_index") + step).drop("own_cut", "before_cut")
-
-
-def merge_adjacent(packed: DataFrame, merges: DataFrame) -> DataFrame:
-    """merges(doc_id, left_index): the chunk after left_index joins it, and later indexes close up."""
-    gone = merges.groupBy("doc_id").agg(F.collect_set("left_index").alias("lefts"))
-    joined = packed.join(gone, "doc_id", "left")
-    passed = F.size(F.filter(F.coalesce("lefts", F.array().cast("array<int>")), lambda i: i < F.col("chunk_index")))
-    return joined.withColumn("chunk_index", F.col("chunk_index") - passed).drop("lefts")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..conf import Budget
 from ..operators import apply, chunk, merge, overrides, report, review, sanitize
 
-STAGES = ("extract", "chunk", "review", "merge", "final", "apply", "report")
+STAGES = ("extract", "chunk", "review", "sanitize", "merge", "final", "apply", "report")
 
 
 @dataclass
@@ -56,8 +56,13 @@ class Pipeline:
         raw = self.reviewer(packed) if self.reviewer else review.disturbed(packed)
         return raw.select(*raw.columns)
 
+    def _sanitize(self, _):
+        chunks = self.load("chunk")
+        return sanitize.sanitize(sanitize.anchored(self.load("review"), chunks), chunks)
+
     def _merge(self, _):
-        return merge.merge(self.load("review"), self.load("chunk"), self.load("extract"))
+        kept = self.load("sanitize").filter("reason is null").drop("reason")
+        return merge.merge(kept, self.load("chunk"), self.load("extract"))
 
     def _final(self, _):
         patch = self.load("merge")
@@ -70,4 +75,5 @@ class Pipeline:
         return report.changes(self.load("apply"))
 
     def sanitized(self) -> DataFrame:
-        return sanitize.sanitize(self.load("review"), self.load("chunk"))
+        """Raw ops with the reason why one was dropped."""
+        return self.load("sanitize")

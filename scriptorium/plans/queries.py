@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from ..conf import QUERY_BUDGET
 from ..functions import fuzzy, jsontext
+from ..functions.schema import schema_faults
 from ..functions.offsets import utf16_length
 from ..functions.text import quote
-from ..operators import apply, chunk, merge, overrides, report, review, sanitize, search, vote
+from ..operators import apply, chunk, fixes, merge, overrides, report, review, sanitize, search, vote
+from ..sources import artifacts
 from ..sources import units as sources
+from ..streaming import results as streams
 from ..tables import keep
 
 LITERAL, REGEX = "the", "[Tt]h[ae]t?[a-z]{1,3}"
@@ -167,17 +170,42 @@ def chunk_overflow(spark, d):
     return chunk.manifest(Stages(spark, d).members, QUERY_BUDGET).filter("allowed_overflow").select("doc_id", "chunk_id", "total_tokens", "primary_unit_count", "context_before_count", "context_after_count")
 
 
-def chunk_shift(spark, d):
-    packed = Stages(spark, d).packed
-    fixes = packed.filter("chunk_index = 0").select("doc_id").distinct().select("doc_id", F.lit(0).alias("left_index"), F.when(F.col("doc_id") % 2 == 0, 1).otherwise(-1).alias("move"))
-    return chunk.shift_boundary(packed, fixes).select("doc_id", "order_index", "chunk_index")
+def _fixes(last: DataFrame) -> DataFrame:
+    """Fixes made from the documents' numbers: shifts and merges that build on one another, and one
+    of each kind of error. last(doc_id, last): the index of the last chunk."""
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("seq"), F.lit(kind).alias("type"), F.lit(f"chunk_{left:04d}").alias("left_chunk_id"), F.lit(f"chunk_{right:04d}").alias("right_chunk_id"), F.lit(move).alias("move"), F.lit(case).alias("case"))
+        for case, fixes in enumerate(FIXES) for i, (kind, left, right, move) in enumerate(fixes)
+    ])
+    return last.filter("last >= 3").select("doc_id", F.explode(rows).alias("f")).select("doc_id", "f.*").filter(F.col("case") == F.col("doc_id") % len(FIXES)).drop("case")
 
 
-def chunk_merge_adjacent(spark, d):
-    packed = Stages(spark, d).packed
-    last = packed.groupBy("doc_id").agg(F.max("chunk_index").alias("last"))
-    merges = last.select("doc_id", F.explode(F.expr("filter(array(0, 2), i -> i < last)")).alias("left_index"))
-    return chunk.merge_adjacent(packed, merges).select("doc_id", "order_index", "chunk_index")
+#: Type, left and right chunk and move of the fixes of a document, by its number modulo their count.
+FIXES = (
+    (("shift_boundary", 1, 2, 1),),
+    (("shift_boundary", 1, 2, -1), ("shift_boundary", 2, 3, -1)),
+    (("merge_adjacent", 1, 2, 0), ("merge_adjacent", 1, 3, 0)),
+    (("merge_adjacent", 2, 3, 0), ("shift_boundary", 2, 4, 1)),
+    (("shift_boundary", 1, 2, 1), ("shift_boundary", 1, 2, 1000)),
+    (("shift_boundary", 2, 3, -1000),),
+    (("merge_adjacent", 1, 2, 0), ("shift_boundary", 2, 3, 1)),
+    (("merge_adjacent", 1, 3, 0),),
+    (("split", 1, 2, 0),),
+)
+
+
+def _fixed(spark, d):
+    members, _ = keep(Stages(spark, d).members.select("doc_id", "chunk_id", "chunk_index", "role", "order_index"), "members")
+    return fixes.apply_fixes(members, _fixes(members.groupBy("doc_id").agg(F.max("chunk_index").alias("last"))))
+
+
+def chunk_fixes(spark, d):
+    """The primary units of fixed documents, and the error where a fix could not be applied."""
+    return _fixed(spark, d).filter("role = 'primary'").select("doc_id", "order_index", "chunk_id", "error")
+
+
+def chunk_fix_context(spark, d):
+    return _fixed(spark, d).filter("role <> 'primary' and error is null").select("doc_id", "chunk_id", "role", "order_index")
 
 
 def chunk_invariants(spark, d):
@@ -208,7 +236,7 @@ def quoted_range_exact(spark, d):
 
 def quoted_range_fuzzy(spark, d):
     """Quotes with a letter changed and a doubled space, found again by similarity."""
-    units = Stages(spark, d).units.filter((F.length("accepted_text") > 60) & (F.length("accepted_text") < 400))
+    units = Stages(spark, d).units
     changed = F.concat(F.substring("accepted_text", 6, 14), F.lit("#"), F.substring("accepted_text", 21, 9), F.lit("[["), F.substring("accepted_text", 30, 6), F.lit("]]"), F.substring("accepted_text", 36, 12))
     return fuzzy.derive_ranges(units.withColumn("quoted_text", changed)).select("doc_id", "unit_uid", "found_start", "found_end")
 
@@ -347,9 +375,67 @@ def json_salvage(spark, d):
     return turns.select("conv_id", "turn", F.get_json_object(saved, "$.role").alias("role"), F.get_json_object(saved, "$.size").cast("long").alias("size"))
 
 
+ANSWER = {
+    "type": "object", "required": ["status", "ops"],
+    "properties": {"status": {"type": "string"}, "score": {"type": "number"}, "done": {"type": "boolean"}, "ops": {"type": "array", "items": {"type": "object", "required": ["type"], "properties": {"type": {"type": "string"}, "at": {"type": "integer"}}}}},
+}
+
+
+def schema_check(spark, d):
+    """Answers with one fault of each kind, and the messages."""
+    turns = _tables(spark, d, "conversations")
+    case = (F.col("conv_id") + F.col("turn")) % 8
+    shapes = [
+        '{"status": "ok", "ops": [{"type": "x", "at": 1}], "score": 1.5, "done": true, "more": 1}', '{"ops": []}', '{"status": 1, "ops": {}}', '{"status": "ok", "ops": [{"type": "x"}, {"at": true}]}',
+        '{"status": "ok", "ops": [1], "score": false, "done": 0}', "[]", '{"status": null, "ops": [{"type": [], "at": 1.5}]}', "{broken",
+    ]
+    answer = F.coalesce(*[F.when(case == i, F.lit(t)) for i, t in enumerate(shapes)])
+    return turns.select("conv_id", "turn", F.array_join(schema_faults(answer, ANSWER), "; ").alias("faults"))
+
+
+def alternate_ops(spark, d):
+    """The ops of chunks written by a reviewer that says patch_ops and target_unit_uid, in the usual shape."""
+    stages = Stages(spark, d)
+    ops = stages.raw.filter("type <> 'unknown_type'")
+    op = F.struct(F.col("op_index").alias("i"), "type", F.col("unit_uid").alias("target_unit_uid"), F.struct(F.col("range_start").alias("start"), F.col("range_end").alias("end")).alias("range"), "comment_text")
+    answers = ops.groupBy("doc_id", "chunk_id").agg(F.to_json(F.struct("chunk_id", F.array_sort(F.collect_list(op)).alias("patch_ops"))).alias("answer"))
+    read = answers.select("doc_id", F.from_json("answer", artifacts.RESULT_DDL).alias("a")).select("doc_id", "a.*")
+    return artifacts.full_targets(artifacts.flat_ops(read, "doc_id"), stages.members, "doc_id").select("doc_id", "chunk_id", "op_index", "type", "part", "para_id", "unit_uid", "range_start", "range_end")
+
+
+def sanitize_conversions(spark, d):
+    stages = Stages(spark, d)
+    return sanitize.conversions(sanitize.sanitize(stages.raw, stages.members))
+
+
+def review_totals(spark, d):
+    stages = Stages(spark, d)
+    return sanitize.totals(sanitize.log(sanitize.sanitize(stages.raw, stages.members)))
+
+
+def review_summaries(spark, d):
+    stages = Stages(spark, d)
+    return sanitize.summaries(sanitize.log(sanitize.sanitize(stages.raw, stages.members)))
+
+
+def failed_in_order(spark, d):
+    """Failed ops in order; every third index is no number, so that there is something to put last."""
+    lost = report.failed(Stages(spark, d).log)
+    return report.failed_in_order(lost.withColumn("op_index", F.when(F.col("op_index") % 3 == 0, F.concat(F.lit("op "), F.col("op_index").cast("string"))).otherwise(F.col("op_index").cast("string")))).select("doc_id", "op_index", "skip_reason", "place")
+
+
+def event_windows(spark, d):
+    return streams.event_windows(_tables(spark, d, "events")).select("start_at", "end_at", "event_type", "n")
+
+
+def event_sessions(spark, d):
+    return streams.sessions(_tables(spark, d, "events"))
+
+
 NAMES = (
+    "schema_check", "alternate_ops", "sanitize_conversions", "review_totals", "review_summaries", "failed_in_order", "event_windows", "event_sessions",
     "units_documents", "units_conversations", "units_pages", "doc_struct", "search_literal", "search_literal_ci", "search_regex", "search_summary", "word_unique",
-    "chunk_pack", "chunk_manifest", "chunk_tokens", "chunk_context", "chunk_overflow", "chunk_shift", "chunk_merge_adjacent", "chunk_invariants",
+    "chunk_pack", "chunk_manifest", "chunk_tokens", "chunk_context", "chunk_overflow", "chunk_fixes", "chunk_fix_context", "chunk_invariants",
     "synth_ops", "synth_first", "quoted_range_exact", "quoted_range_fuzzy", "sanitize_reasons", "sanitize_log", "ownership", "uid_autofill", "range_resolution",
     "dedup_ops", "conflict_pairs", "conflict_greedy", "patch_order", "merge_stats", "merge_reasons", "qa_overrides", "qa_override_report",
     "apply_guard", "apply_text", "apply_stats", "skip_breakdown", "reconcile_patch_log", "changes", "failed_ops", "disambiguation", "adjacent_merge", "report_stats",

@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from ..conf import ADJACENT_GAP, BODY, DRY_RUN_COMMENT, DRY_RUN_INSERT, QUERY_BUDGET, WORD
 from ..operators.report import CONTEXT, GUIDANCE
-from ..sources.units import PAGE_BLOCK
-from .queries import LITERAL, REGEX, RUNS
+from .queries import FIXES, LITERAL, REGEX, RUNS
 
 _WORD = WORD.replace("'", "''")
 _TARGET, _HARD = QUERY_BUDGET.target, QUERY_BUDGET.hard_max_tokens
@@ -36,7 +35,7 @@ def _occurrences(text: str, snippet: str) -> str:
 
 
 def _chunk_id(index: str) -> str:
-    return f"'chunk_' || lpad(cast({index} + 1 as varchar), greatest(4, length(cast({index} + 1 as varchar))), '0')"
+    return f"'chunk_' || lpad(cast({index} + 1 as varchar), cast(greatest(4, length(cast({index} + 1 as varchar))) as integer), '0')"
 
 
 STEPS: dict[str, tuple[str, tuple[str, ...]]] = {}
@@ -52,9 +51,12 @@ _step("units", rf"""
   from (select doc_id, unnest(string_split(text, chr(10))) as t, unnest(range(len(string_split(text, chr(10))))) as i from documents) where regexp_matches(t, '\S')""")
 _step("page_units", rf"""
   select *, cast(row_number() over (partition by doc_id order by paragraph_index_in_part) - 1 as integer) as order_index, {_ids('doc_id', 'part', 'paragraph_index_in_part')} from (
-    select page_id as doc_id, case when lower(tag) = 'footer' then 'page/footer' else 'page/body' end as part, case when lower(tag) = 'footer' then 'footer' else 'body' end as part_kind,
-      cast(i - 1 as integer) as paragraph_index_in_part, lower(tag) as tag, regexp_replace(t, '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g') as accepted_text
-    from (select page_id, unnest(regexp_extract_all(html, '{PAGE_BLOCK}', 1)) as tag, unnest(regexp_extract_all(html, '{PAGE_BLOCK}', 2)) as t, unnest(range(1, len(regexp_extract_all(html, '{PAGE_BLOCK}', 1)) + 1)) as i from pages)
+    select page_id as doc_id, case when tag = 'footer' then 'page/footer' else 'page/body' end as part, case when tag = 'footer' then 'footer' else 'body' end as part_kind,
+      cast(row_number() over (partition by page_id order by place) - 1 as integer) as paragraph_index_in_part, tag, trim(regexp_replace(t, '<[^>]*>', '', 'g'), ' ' || chr(9) || chr(10) || chr(13)) as accepted_text
+    from (select page_id, place, lower(split_part(piece, chr(2), 1)) as tag, substr(piece, strpos(piece, chr(2)) + 1) as t from (
+      select page_id, unnest(pieces) as piece, unnest(range(len(pieces))) as place from (
+        select page_id, string_split(regexp_replace(html, '(?i)<(/?(?:h[1-6]|p|li|footer|ul|ol|dl|dt|dd|div|nav|header|main|section|article|aside|table|thead|tbody|tr|td|th|form|body|html|head|title|script|style))\b[^>]*>', chr(1) || '\1' || chr(2), 'g'), chr(1)) as pieces from pages)))
+    where regexp_full_match(tag, 'h[1-6]|p|li|footer')
   ) where accepted_text <> ''""")
 _step("pages_with_headings", "select *, " + ", ".join(
     f"max_by(accepted_text, order_index) filter (where tag = 'h{n}') over w as t{n}, max(order_index) filter (where tag = 'h{n}') over w as o{n}, max(order_index) filter (where tag in ({', '.join(repr(f'h{m}') for m in range(1, n)) or repr('none')})) over w as c{n}"
@@ -205,6 +207,27 @@ _step("runs", f"""
   where cast('0x' || substr(sha256(dedup_key || '|' || run), 1, 8) as bigint) % 3 <> 0""", "deduped")
 
 
+#: A document's chunks as their ids and the position of each one's last unit; a fix changes both lists.
+_FIXES = " union all ".join(f"select {case} as c, {i} as seq, '{kind}' as type, 'chunk_{left:04d}' as l, 'chunk_{right:04d}' as r, {move} as move" for case, some in enumerate(FIXES) for i, (kind, left, right, move) in enumerate(some))
+_step("fix_start", f"""
+  select doc_id, list({_chunk_id('chunk_index')} order by chunk_index) as ids, list(hi order by chunk_index) as his from (
+    select doc_id, chunk_index, cast(sum(count(*)) over (partition by doc_id order by chunk_index) as bigint) as hi from pk group by doc_id, chunk_index) group by doc_id having max(chunk_index) >= 3""", "pk")
+_step("fix_all", f"select doc_id, f.* from fix_start join ({_FIXES}) f on f.c = doc_id % {len(FIXES)}", "fix_start")
+_step("fix_walk", """
+  select doc_id, -1 as seq, ids, his, cast(null as varchar) as error from fix_start
+  union all
+  select doc_id, seq, case when error is null and type = 'merge_adjacent' then ids[1:li] || ids[ri + 1:] else ids end,
+    case when error is not null then his when type = 'merge_adjacent' then his[1:li - 1] || his[ri:] when type = 'shift_boundary' then his[1:li - 1] || [his[li] + move] || his[ri:] else his end, error
+  from (
+    select *, case when before is not null then before when li is null or ri is null then 'unknown chunk: ' || l || ', ' || r when ri <> li + 1 then 'not adjacent: ' || l || ', ' || r
+      when type not in ('merge_adjacent', 'shift_boundary') then 'unsupported fix: ' || type when type = 'shift_boundary' and move > his[ri] - his[li] then 'move exceeds the right chunk: ' || r
+      when type = 'shift_boundary' and -move > his[li] - coalesce(his[li - 1], 0) then 'move exceeds the left chunk: ' || l end as error
+    from (select w.doc_id, f.seq, w.ids, w.his, w.error as before, f.type, f.l, f.r, f.move, nullif(list_position(w.ids, f.l), 0) as li, nullif(list_position(w.ids, f.r), 0) as ri
+      from fix_walk w join fix_all f on f.doc_id = w.doc_id and f.seq = w.seq + 1))""", "fix_start", "fix_all")
+_step("fix_end", "select doc_id, max_by(ids, seq) as ids, max_by(his, seq) as his, max(error) as error from fix_walk group by doc_id", "fix_walk")
+_step("fix_spans", "select doc_id, unnest(ids) as chunk_id, unnest(list_prepend(cast(0 as bigint), his)[1:len(his)]) as lo, unnest(his) as hi from fix_end where error is null", "fix_end")
+
+
 def _with(final: str, *needs: str) -> str:
     order: list[str] = []
 
@@ -243,12 +266,10 @@ ORACLE_SQL: dict[str, str] = {
     "chunk_manifest": _with(f"select doc_id, chunk_id, chunk_index, start_order_index, end_order_index, primary_unit_count, context_before_count, context_after_count, total_tokens, total_tokens <= {_HARD} as is_within_hard_max, total_tokens > {_HARD} and primary_unit_count = 1 as allowed_overflow from chunks", "chunks"),
     "chunk_tokens": _with("select doc_id, chunk_id, primary_tokens, context_before_tokens, context_after_tokens, total_tokens from chunks", "chunks"),
     "chunk_overflow": _with(f"select doc_id, chunk_id, total_tokens, primary_unit_count, context_before_count, context_after_count from chunks where total_tokens > {_HARD} and primary_unit_count = 1", "chunks"),
-    "chunk_shift": _with("""
-      select p.doc_id, p.order_index, cast(p.chunk_index + case when c.cut is null then 0 when p.chunk_index = 0 and p.order_index > c.cut then 1 when p.chunk_index = 1 and p.order_index <= c.cut then -1 else 0 end as integer) as chunk_index
-      from pk p left join (select a.doc_id, greatest(a.f, least(b.l - 1, a.l + case when a.doc_id % 2 = 0 then 1 else -1 end)) as cut from edges a join edges b on b.doc_id = a.doc_id and b.chunk_index = 1 where a.chunk_index = 0) c on c.doc_id = p.doc_id""", "pk", "edges"),
-    "chunk_merge_adjacent": _with("""
-      select doc_id, order_index, cast(chunk_index - cast(0 < chunk_index and 0 < last as integer) - cast(2 < chunk_index and 2 < last as integer) as integer) as chunk_index
-      from (select *, max(chunk_index) over (partition by doc_id) as last from pk)""", "pk"),
+    "chunk_fixes": _with("""
+      select p.doc_id, p.order_index, coalesce(r.chunk_id, p.old_id) as chunk_id, f.error
+      from (select doc_id, order_index, row_number() over (partition by doc_id order by order_index) as pos, @id as old_id from pk) p join fix_end f on f.doc_id = p.doc_id
+      left join fix_spans r on f.error is null and r.doc_id = p.doc_id and p.pos > r.lo and p.pos <= r.hi""".replace("@id", _chunk_id("chunk_index")), "pk", "fix_end", "fix_spans"),
     "chunk_invariants": _with("""
       select doc_id, unit_uid, 'primary_not_once' as rule from mem where role = 'primary' group by all having count(*) <> 1
       union all select doc_id, unit_uid, 'primary_and_context' from mem group by doc_id, chunk_id, unit_uid having count(distinct role = 'primary') > 1""", "mem"),
@@ -312,4 +333,24 @@ ORACLE_SQL: dict[str, str] = {
     "ensemble_missing": _with(f"""
       select doc_id, chunk_id, coalesce(runs, 0) as runs from (select distinct doc_id, chunk_id from members) c left join (select doc_id, chunk_id, count(distinct run) as runs from runs group by all) r using (doc_id, chunk_id)
       where coalesce(runs, 0) < {RUNS}""", "members", "runs"),
+    "schema_check": """
+      select conv_id, turn, ['', 'Missing required field: root.status', 'Expected string at root.status, got int; Expected array at root.ops, got dict', 'Missing required field: root.ops[1].type; Expected integer at root.ops[1].at, got bool',
+        'Expected number at root.score, got bool; Expected boolean at root.done, got int; Expected object at root.ops[0], got int', 'Expected object at root, got list',
+        'Expected string at root.status, got NoneType; Expected string at root.ops[0].type, got list; Expected integer at root.ops[0].at, got float', 'Not JSON'][(conv_id + turn) % 8 + 1] as faults from conversations""",
+    "alternate_ops": _with("""
+      select o.doc_id, o.chunk_id, cast(row_number() over (partition by o.doc_id, o.chunk_id order by op_index) - 1 as integer) as op_index, o.type, m.part, m.para_id, o.unit_uid, cast(range_start as integer) as range_start, cast(range_end as integer) as range_end
+      from ops o left join mem m on m.doc_id = o.doc_id and m.chunk_id = o.chunk_id and m.unit_uid = o.unit_uid and m.role = 'primary' where o.type <> 'unknown_type'""", "ops", "mem"),
+    "sanitize_conversions": _with("select doc_id, chunk_id, string_agg(op_index || ':' || reason, ',' order by op_index) as conversions from sanitized where reason is not null group by all", "sanitized"),
+    "review_totals": _with("select doc_id, count(distinct chunk_id) as chunks, count(*) as input_op_count, count(*) filter (where reason is null) as output_op_count, count(*) filter (where reason is not null) as converted_ops from sanitized group by all", "sanitized"),
+    "review_summaries": _with("select *, cast(row_number() over (partition by doc_id order by chunk_id) as integer) as place from (select doc_id, chunk_id, count(*) as input_op_count, count(*) filter (where reason is null) as output_op_count, count(*) filter (where reason is not null) as converted_ops from sanitized group by doc_id, chunk_id)", "sanitized"),
+    "failed_in_order": _with("""
+      select doc_id, op_index, skip_reason, cast(row_number() over (partition by doc_id order by coalesce(try_cast(op_index as bigint), 1000000000), op_index, skip_reason) as integer) as place from (
+        select doc_id, case when patch_pos % 3 = 0 then 'op ' || patch_pos else cast(patch_pos as varchar) end as op_index, reason as skip_reason from log where status <> 'applied')""", "log"),
+    "event_windows": """
+      select start_at, start_at + interval 1 hour as end_at, event_type, count(*) as n
+      from (select event_type, unnest([time_bucket(interval 30 minutes, ts), time_bucket(interval 30 minutes, ts) - interval 30 minutes]) as start_at from events) group by all""",
+    "event_sessions": """
+      select user_id, min(ts) as start_at, max(ts) + interval 30 minutes as end_at, count(*) as n from (
+        select *, sum(fresh) over (partition by user_id order by ts) as run from (select user_id, ts, case when ts <= lag(ts) over (partition by user_id order by ts) + interval 30 minutes then 0 else 1 end as fresh from events))
+      group by user_id, run""",
 }

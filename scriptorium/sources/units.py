@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..conf import BODY
 from ..functions.text import identity
 
-#: Markup of a page that becomes units: part, its kind, the pattern of its blocks.
-PAGE_BLOCK = r"(?is)<(h[1-6]|p|li|footer)\b[^>]*>([^<]*)"
+#: Blocks of a page that become units, and other tags that end one.
+BLOCKS = "h[1-6]|p|li|footer"
+EDGES = f"{BLOCKS}|ul|ol|dl|dt|dd|div|nav|header|main|section|article|aside|table|thead|tbody|tr|td|th|form|body|html|head|title|script|style"
 
 
 def _identified(units: DataFrame) -> DataFrame:
@@ -39,13 +40,11 @@ def conversation_units(turns: DataFrame) -> DataFrame:
 def page_units(pages: DataFrame) -> DataFrame:
     """Headings, paragraphs, list items and footers of pages in document order, with heading_path:
     the headings open at a unit, a heading itself included. A heading closes those of its level
-    and deeper. Markup is often unclosed, so blocks are found by their opening tags."""
-    tags = F.regexp_extract_all("html", F.lit(PAGE_BLOCK), F.lit(1))
-    texts = F.regexp_extract_all("html", F.lit(PAGE_BLOCK), F.lit(2))
-    blocks = F.filter(
-        F.transform(F.arrays_zip(tags.alias("tag"), texts.alias("t")), lambda x, i: F.struct(i.alias("i"), F.lower(x["tag"]).alias("tag"), F.regexp_replace(x["t"], r"^[ \t\r\n]+|[ \t\r\n]+$", "").alias("t"))),
-        lambda x: x["t"] != "",
-    )
+    and deeper. Markup is often unclosed, so a block runs from its opening tag to the next tag of
+    a block, opening or closing; inline tags inside it go, their text stays."""
+    pieces = F.filter(F.split("html", rf"(?i)(?=</?(?:{EDGES})\b)"), lambda x: x.rlike(rf"(?i)^<(?:{BLOCKS})\b[^>]*>"))
+    text = lambda x: F.regexp_replace(F.regexp_replace(x, r"<[^>]*>", ""), r"^[ \t\r\n]+|[ \t\r\n]+$", "")
+    blocks = F.filter(F.transform(pieces, lambda x, i: F.struct(i.alias("i"), F.lower(F.regexp_extract(x, r"^<(\w+)", 1)).alias("tag"), text(x).alias("t"))), lambda x: x["t"] != "")
     rows = pages.select(F.col("page_id").alias("doc_id"), F.posexplode(blocks).alias("order_index", "b"))
     rows = rows.select("doc_id", F.when(F.col("b.tag") == "footer", "page/footer").otherwise("page/body").alias("part"), F.when(F.col("b.tag") == "footer", "footer").otherwise("body").alias("part_kind"), F.col("b.i").alias("paragraph_index_in_part"), F.col("b.tag").alias("tag"), F.col("b.t").alias("accepted_text"), "order_index")
     return _identified(rows.withColumn("heading_path", heading_path(F.when(F.col("tag").rlike("^h[1-6]$"), F.substring("tag", 2, 1).cast("int")), F.col("accepted_text"))))

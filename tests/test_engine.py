@@ -4,6 +4,7 @@ import io
 import random
 import re
 import zipfile
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from scriptorium.conf import Budget
 from scriptorium.functions import fuzzy, jsontext
 from scriptorium.functions.offsets import overlap, utf16_length, utf16_slice
+from scriptorium.functions.schema import schema_faults
 from scriptorium.functions.text import collapse, quote, render, shorten, target_label
-from scriptorium.operators import apply, chunk, merge, overrides, report, review, sanitize, search
+from scriptorium.operators import apply, chunk, fixes, merge, overrides, report, review, sanitize, search
 from scriptorium.plans.pipeline import Pipeline
 from scriptorium.sinks import docx as docx_sink
 from scriptorium.sinks.files import json_report, markdown
@@ -39,9 +41,9 @@ def members(spark, *rows):
 
 
 def test_offsets(spark):
-    text = "😀 Alpha beta ALPHA Beta alpha."
+    text = "𝄞 Cello oboe TUBA horn viola!"
     row = spark.createDataFrame([(text,)], "t string").select(utf16_length(F.col("t")).alias("n"), utf16_slice(F.col("t"), F.lit(3), F.lit(8)).alias("s")).first()
-    assert (row.n, row.s) == (31, "Alpha")
+    assert (row.n, row.s) == (30, "Cello")
     cases = [(a, b, c, d) for a in range(4) for b in range(a, 4) for c in range(4) for d in range(c, 4)]
 
     def brute(a, b, c, d):
@@ -88,10 +90,112 @@ def test_chunks(spark, seed):
         assert c.is_within_hard_max == (c.total_tokens <= 40)
         if not c.is_within_hard_max:
             assert c.allowed_overflow and c.primary_unit_count == 1 and c.context_before_count == c.context_after_count == 0
-    moved = chunk.shift_boundary(packed, spark.createDataFrame([(1, 0, 1), (1, 2, -1)], "doc_id long, left_index int, move int"))
-    assert sorted(x.order_index for x in moved.collect()) == list(range(len(texts)))
-    merged = {x.order_index: x.chunk_index for x in chunk.merge_adjacent(packed, spark.createDataFrame([(1, 0)], "doc_id long, left_index int")).collect()}
-    assert all(merged[i] == max(0, c - 1) for i, c in out.items())
+
+
+def test_chunk_fixes(spark):
+    rows = [(d, f"chunk_{c + 1:04d}", c, "primary", 3 * c + i) for d in range(7) for c in range(4) for i in range(3)]
+    rows += [(d, f"chunk_{c + 1:04d}", c, role, 3 * c + at) for d in range(7) for c in range(4) for role, at in (("context_before", -1), ("context_after", 3)) if 0 <= 3 * c + at < 12]
+    members = spark.createDataFrame(rows, "doc_id long, chunk_id string, chunk_index int, role string, order_index int")
+    fix = lambda d, i, kind, a, b, move=0: (d, i, kind, f"chunk_{a:04d}", f"chunk_{b:04d}", move)
+    asked = [
+        fix(0, 0, "shift_boundary", 1, 2, 2), fix(0, 1, "shift_boundary", 2, 3, 1), fix(1, 0, "merge_adjacent", 1, 2), fix(1, 1, "shift_boundary", 1, 3, -4), fix(2, 0, "shift_boundary", 3, 4, 4),
+        fix(3, 0, "shift_boundary", 1, 2, -1), fix(3, 1, "merge_adjacent", 1, 3), fix(4, 0, "merge_adjacent", 1, 2), fix(4, 1, "shift_boundary", 2, 3, 1), fix(5, 0, "shift_boundary", 2, 3, 3), fix(5, 1, "shift_boundary", 2, 3, 1),
+    ]
+    out = fixes.apply_fixes(members, spark.createDataFrame(asked, "doc_id long, seq int, type string, left_chunk_id string, right_chunk_id string, move int")).collect()
+    held = {}
+    for x in out:
+        held.setdefault((x.doc_id, x.role), {}).setdefault(int(x.chunk_id[-4:]), []).append(x.order_index)
+    errors = {x.doc_id: x.error for x in out}
+    assert held[0, "primary"] == {1: [0, 1, 2, 3, 4], 2: [5, 6], 3: [7, 8], 4: [9, 10, 11]} and held[0, "context_after"][1] == [5] and held[0, "context_before"][3] == [6]
+    assert held[1, "primary"] == {1: [0, 1], 3: [2, 3, 4, 5, 6, 7, 8], 4: [9, 10, 11]} and held[1, "context_before"][3] == [1]
+    assert "exceeds the right chunk" in errors[2] and "not adjacent" in errors[3] and "unknown chunk" in errors[4] and "exceeds the right" in errors[5] and errors[0] is None and 6 not in errors
+    assert all(held[d, "primary"] == {c + 1: [3 * c, 3 * c + 1, 3 * c + 2] for c in range(4)} for d in (2, 3, 4, 5))
+    said = iter([("needs_fix", spark.createDataFrame(asked[:2], "doc_id long, seq int, type string, left_chunk_id string, right_chunk_id string, move int")), ("ok", None)])
+    seen = []
+    after = fixes.check_chunks(members, lambda _, sample: (seen.append(sample.select("chunk_id").distinct().count()), next(said))[1])
+    assert seen == [3, 3] and after.filter("doc_id = 0 and role = 'primary' and chunk_index = 1").count() == 2 and after.filter("doc_id = 6").count() == members.filter("doc_id = 6").count()
+    for answers in ([("odd", None)], [("needs_fix", None)], [("needs_fix", spark.createDataFrame(asked[:1], "doc_id long, seq int, type string, left_chunk_id string, right_chunk_id string, move int")), ("needs_fix", None)]):
+        replies = iter(answers)
+        with pytest.raises(ValueError):
+            fixes.check_chunks(members, lambda *_, replies=replies: next(replies))
+
+
+def test_packing_of_many_units(spark):
+    texts = ["w" * (i * 37 % 190 + 1) for i in range(20000)]
+    out = chunk.pack(units(spark, *texts), Budget(512, 0.5, 320)).orderBy("order_index").collect()
+    total, index = 0, 0
+    for x in out:
+        total += x.token_estimate
+        if total > 256:
+            total, index = x.token_estimate, index + 1
+        assert x.chunk_index == index
+    assert [r.n for r in spark.range(2).select(chunk.chunk_name(F.col("id") * 12344).alias("n")).collect()] == ["chunk_0001", "chunk_12345"]
+
+
+def test_schema_faults(spark):
+    schema = {"type": "object", "required": ["a"], "properties": {"a": {"type": "array", "items": {"type": "integer"}}, "b": {"type": "number", "enum": [1]}}}
+    rows = ['{"a": [1, 2], "b": 7}', '{"b": true}', '{"a": [1, "x", false]}', "7", "{", None]
+    got = [x.f for x in spark.createDataFrame([(r,) for r in rows], "t string").select(schema_faults(F.col("t"), schema).alias("f")).collect()]
+    assert got == [[], ["Missing required field: root.a", "Expected number at root.b, got bool"], ["Expected integer at root.a[1], got str", "Expected integer at root.a[2], got bool"], ["Expected object at root, got int"], ["Not JSON"], None]
+
+
+def test_conflicts_by_neighbours(spark):
+    """The fold over neighbours against a comparison with all kept edits."""
+    r = random.Random(5)
+    u = units(spark, *["x" * 60] * 40)
+    rows, want = [], {}
+    for p in range(40):
+        kept = []
+        for i in range(25):
+            a = r.randrange(30)
+            b = r.choice([a, a + r.randrange(8), max(0, a - 1)])
+            meets = lambda c, d, a=a, b=b: (a == c if a == b and c == d else c <= a <= d if a == b else a <= c <= b if c == d else max(a, c) < min(b, d))
+            want[p * 25 + i] = any(meets(c, d) for c, d in kept)
+            if not want[p * 25 + i]:
+                kept.append((a, b))
+            rows.append(op(p * 25 + i, "replace_range", p, a, b, "x", str(i)))
+    assert {x.op_index: x.downgraded for x in merge.downgrade(spark.createDataFrame(rows, OP)).collect()} == want and u.count() == 40
+
+
+def test_quoted_only_ops_reach_the_patch(spark, tmp_path):
+    """A reviewer whose ops have a quote and neither range nor snippet."""
+    docs = spark.createDataFrame([(1, "Green lamps hang above the narrow harbour road.\nNobody walks there after nine.")], "doc_id long, text string")
+    uid = {x.order_index: x.unit_uid for x in sources.document_units(docs).collect()}
+    none = (None, None, None)
+    raw = [
+        (1, "chunk_0001", 0, "replace_range", None, None, uid[0], "lamps [[hang]] above", *none, "swing", None, None), (1, "chunk_0001", 1, "replace_range", None, None, uid[0], "the [[narow]] harbour road", *none, "wide", None, None),
+        (1, "chunk_0001", 2, "add_comment", None, None, uid[1], "walks[[ ]] there", *none, None, None, "Who?"), (1, "chunk_0001", 3, "insert_at", None, None, uid[1], "after [[nine]]", *none, None, "x", None), (1, "chunk_0001", 4, "replace_range", None, None, uid[1], "zzz [[qqq]] www", *none, "x", None, None),
+    ]
+    run = Pipeline(spark, str(tmp_path), Budget(120, 0.25, 40), reviewer=lambda packed: spark.createDataFrame(raw, OP))
+    run.run(sources.document_units(docs))
+    assert {x.op_index: x.reason for x in run.sanitized().collect()} == {0: None, 1: None, 2: None, 3: "non_collapsed_range", 4: "missing_range"}
+    log = {x.op_index: (x.status, x.range_start, x.range_end) for x in run.load("apply").collect()}
+    assert log[0] == ("applied", 12, 16) and log[2] == ("applied", 12, 12) and log[1][0] == "applied" and set(log) == {0, 1, 2}
+
+
+def test_similarity_bound():
+    r = random.Random(3)
+    for _ in range(60):
+        text = "".join(r.choice("abcde ") for _ in range(r.randrange(20, 400)))
+        at, n = r.randrange(0, len(text) - 10), r.choice([8, 30, 120])
+        needle = "".join(c if r.random() > 0.1 else r.choice("abcdexy") for c in text[at : at + n])
+        places = range(0, len(text) - len(needle) + 1, 1 if len(needle) < 100 else 5)
+        score = lambda p, needle=needle, text=text: SequenceMatcher(None, needle, text[p : p + len(needle)]).ratio()
+        best = max(map(score, places), default=0)
+        want = next((p for p in places if score(p) == best), None) if best >= 0.8 else None
+        if needle in text:
+            want = text.find(needle)
+        elif want is not None and len(needle) >= 100:
+            near = range(max(0, want - 5), min(len(text) - len(needle), want + 5) + 1)
+            top = max(map(score, near))
+            want = next(p for p in near if score(p) == top) if top > best else want
+        assert fuzzy.best_window(needle, text, 0.8) == want
+
+
+def test_alternate_answers(spark, tmp_path):
+    (tmp_path / "chunk_0001_result.json").write_text('{"chunk_id": "chunk_0001", "patch_ops": [{"type": "add_comment", "target_unit_uid": " unit_0 ", "range": {"start": 0, "end": 0}, "comment_text": "a"}, {"type": "add_comment", "target": {"part": "p", "para_id": "q", "unit_uid": "unit_0"}, "target_unit_uid": "unit_9", "comment_text": "b"}]}')
+    ops = artifacts.full_targets(artifacts.read_results(spark, str(tmp_path), "legacy"), members(spark, ("chunk_0001", "primary", 0)))
+    assert sorted((x.op_index, x.part, x.para_id, x.unit_uid) for x in ops.collect()) == [(0, BODY, "para_0", "unit_0"), (1, "p", "q", "unit_0")]
 
 
 def test_sanitize(spark):
