@@ -9,8 +9,13 @@ from __future__ import annotations
 import copy
 import io
 import zipfile
+from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from ..sources.docx import W, paragraph_index, visible_text
 
 XML_SPACE = "{http://www.w3.org/XML/1998/namespace}space"
@@ -87,7 +92,7 @@ def annotate(data: bytes, ops: list[dict], author: str, date: str) -> tuple[byte
         files = {n: package.read(n) for n in package.namelist()}
     for prefix, uri in _namespaces(files):
         ET.register_namespace(prefix, uri)
-    trees, changed, comments, log = {}, set(), [], []
+    trees, changed, comments, log, originals = {}, set(), [], [], {}
     number = 1
     for index, op in sorted(enumerate(ops), key=lambda x: (x[1]["part"], -x[1]["range_start"], -x[1]["range_end"], x[0])):
         entry = {"op_index": index, "type": op["type"], "status": "skipped", "reason": None, "actual_snippet": None}
@@ -104,7 +109,7 @@ def annotate(data: bytes, ops: list[dict], author: str, date: str) -> tuple[byte
         paragraph = Paragraph(found[at])
         start, end = op["range_start"], op["range_end"]
         # what earlier ops of this paragraph put in lies behind this one, as they run from its end
-        original = visible_text(found[at]) if (part, at) not in changed else op.get("accepted_text", visible_text(found[at]))
+        original = originals.setdefault((part, at), visible_text(found[at]))
         entry["actual_snippet"] = _cut(_cut(original, end)[0], start)[1]
         if (part, at) not in changed and not paragraph.plain:
             entry["reason"] = "unsupported_paragraph_structure"
@@ -207,3 +212,73 @@ def validate(data: bytes, log: list[dict]) -> list[str]:
             if xml.count(b"commentRangeStart") != xml.count(b"commentReference "):
                 problems.append("comment markers don't match")
     return problems
+
+
+LOG = "array<struct<op_index: int, type: string, status: string, reason: string, actual_snippet: string>>"
+
+
+def annotate_packages(packages: DataFrame, ops: DataFrame, author: str, date: str) -> DataFrame:
+    """packages(path, content) with their ops(path, ...; the fields of annotate()) as tracked changes
+    and comments: path, content, log and problems (what validate() finds). A package is one row and
+    one task's work; only its own ops come to it. Packages without ops stay as they are."""
+    fields = ("type", "part", "paragraph_index_in_part", "range_start", "range_end", "snippet", "replacement", "new_text", "comment_text")
+    mine = ops.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("op_index", *fields))).alias("ops"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content, asked in zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True):
+                out, log = annotate(content, asked, author, date) if asked else (content, [])
+                numbers = [op["op_index"] for op in asked or ()]
+                done = [{k: numbers[e[k]] if k == "op_index" else e[k] for k in ("op_index", "type", "status", "reason", "actual_snippet")} for e in log]
+                shape = pa.list_(pa.struct([("op_index", pa.int32()), *[(k, pa.string()) for k in ("type", "status", "reason", "actual_snippet")]]))
+                columns = [pa.array([path]), pa.array([out], pa.binary()), pa.array([done], shape), pa.array([validate(out, log) if log else []], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "content", "log", "problems"])
+
+    both = packages.select("path", "content").join(mine, "path", "left").select("path", "content", "ops")
+    return both.mapInArrow(run, f"path string, content binary, log {LOG}, problems array<string>")
+
+
+def report_package(rows: list[tuple[str, str, str]]) -> bytes:
+    """A package with a table of changes: number, place with the text as it was, and as it is; both
+    texts in bold. rows: place, text before, text after."""
+
+    def cell(row: ET.Element, *runs: tuple[str, bool]) -> None:
+        paragraph = ET.SubElement(ET.SubElement(row, f"{W}tc"), f"{W}p")
+        for text, bold in runs:
+            run = ET.SubElement(paragraph, f"{W}r")
+            if bold:
+                ET.SubElement(ET.SubElement(run, f"{W}rPr"), f"{W}b")
+            ET.SubElement(run, f"{W}t", {XML_SPACE: "preserve"}).text = text
+
+    root = ET.Element(f"{W}document")
+    body = ET.SubElement(root, f"{W}body")
+    table = ET.SubElement(body, f"{W}tbl")
+    head = ET.SubElement(table, f"{W}tr")
+    for title in ("#", "At", "Suggestion"):
+        cell(head, (title, True))
+    for number, (place, before, after) in enumerate(rows, 1):
+        line = ET.SubElement(table, f"{W}tr")
+        cell(line, (str(number), False))
+        cell(line, (f"{place}: ", False), (before, True))
+        cell(line, (after, True))
+    ET.SubElement(body, f"{W}p")
+    main = "application/vnd.openxmlformats-officedocument.wordprocessingml.document.main+xml"
+    types = f'<Types xmlns="{TYPES}"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/word/document.xml" ContentType="{main}"/></Types>'
+    links = f'<Relationships xmlns="{RELATIONS}"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="word/document.xml"/></Relationships>'
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as package:
+        for name, data in ((CONTENT_TYPES, types.encode()), ("_rels/.rels", links.encode()), ("word/document.xml", _xml(root))):
+            package.writestr(zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0)), data)
+    return out.getvalue()
+
+
+def report_packages(changes: DataFrame) -> DataFrame:
+    """One report package for each document with changes: doc_id and content."""
+    rows = changes.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("patch_pos", "stable_location", "exact_snippet", "after_snippet"))).alias("rows"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [report_package([(x["stable_location"], x["exact_snippet"] or "", x["after_snippet"] or "") for x in some]) for some in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["doc_id", "content"])
+
+    return rows.mapInArrow(run, "doc_id long, content binary")

@@ -331,6 +331,21 @@ def test_docx(spark, tmp_path):
         assert log[0]["reason"] == "unsupported_paragraph_structure" and z.read(BODY) == zipfile.ZipFile(io.BytesIO(field)).read(BODY) and "word/comments.xml" not in z.namelist()
 
 
+def test_docx_over_a_dataframe(spark):
+    data = package(PLAIN.format(""))
+    packages = spark.createDataFrame([("a", bytearray(data)), ("b", bytearray(data)), ("c", bytearray(data))], "path string, content binary")
+    rows = [("a", 7, "replace_range", BODY, 0, 6, 10, "beta", "BETA", None, None), ("a", 8, "add_comment", BODY, 0, 0, 5, "Alpha", None, None, "Why?"), ("a", 9, "replace_range", BODY, 0, 0, 5, "Wrong", "x", None, None), ("b", 1, "insert_at", BODY, 4, 0, 0, "", None, "x", None)]
+    ops = spark.createDataFrame(rows, "path string, op_index int, type string, part string, paragraph_index_in_part int, range_start int, range_end int, snippet string, replacement string, new_text string, comment_text string")
+    out = {x.path: x for x in docx_sink.annotate_packages(packages, ops, "a", "2026-01-01T00:00:00Z").collect()}
+    assert {e.op_index: (e.status, e.reason) for e in out["a"].log} == {7: ("applied", None), 8: ("applied", None), 9: ("skipped", "snippet_mismatch")} and out["a"].problems == []
+    assert [u[4] for u in docx_source.package_units(bytes(out["a"].content))][0] == "Alpha BETA gamma delta."
+    assert out["b"].log[0].reason == "target_not_found" and bytes(out["c"].content) == data and out["c"].log == []
+    changes = spark.createDataFrame([(1, 1, "p:q", "old", "new"), (1, 0, "p:r", "was", ""), (2, 0, "p:q", "x", "y & z")], "doc_id long, patch_pos int, stable_location string, exact_snippet string, after_snippet string")
+    made = {x.doc_id: bytes(x.content) for x in docx_sink.report_packages(changes).collect()}
+    assert [u[4] for u in docx_source.package_units(made[1])] == ["#", "At", "Suggestion", "1", "p:r: was", "", "2", "p:q: old", "new", ""]
+    assert b"<w:b" in zipfile.ZipFile(io.BytesIO(made[2])).read(BODY) or b":b " in zipfile.ZipFile(io.BytesIO(made[2])).read(BODY)
+
+
 def test_artifacts_and_stream(spark, tmp_path):
     (tmp_path / "r").mkdir()
     for n, text in ((1, "A"), (2, "A"), (3, "B")):
@@ -356,13 +371,19 @@ def test_pipeline_resumes(spark, tmp_path):
     assert review.word_frequency(run.load("extract")).count() > 0
 
 
-def test_entry_without_llm(monkeypatch):
-    import importlib
+def test_entry_without_llm(tmp_path):
+    """With the training-data folders gone the rest still loads; a fault inside them is not hidden."""
+    import pathlib
+    import shutil
+    import subprocess
     import sys
 
-    for name in [n for n in sys.modules if n.startswith("scriptorium.llm") or n in ("corpus_pipeline", "__spark_entry__")]:
-        monkeypatch.delitem(sys.modules, name)
-    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
-    entry = importlib.import_module("__spark_entry__")
-    assert "search_literal" in entry.queries() and not any(n.startswith("op1_") for n in entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
-    monkeypatch.delitem(sys.modules, "__spark_entry__")
+    top = pathlib.Path(__file__).resolve().parent.parent
+    shutil.copytree(top / "scriptorium", tmp_path / "scriptorium", ignore=shutil.ignore_patterns("__pycache__", "llm"))
+    shutil.copy(top / "__spark_entry__.py", tmp_path)
+    ask = "import __spark_entry__ as e; q = e.queries(); assert 'search_literal' in q and not any(n.startswith('op') or n == 'pipeline' for n in q) and set(e.oracle_sql()) <= set(q)"
+    assert subprocess.run([sys.executable, "-c", ask], cwd=tmp_path, timeout=120).returncode == 0
+    (tmp_path / "scriptorium" / "llm").mkdir()
+    (tmp_path / "scriptorium" / "llm" / "__init__.py").write_text("")
+    (tmp_path / "scriptorium" / "llm" / "queries.py").write_text("import no_such_module\n")
+    assert subprocess.run([sys.executable, "-c", ask], cwd=tmp_path, timeout=120, stderr=subprocess.DEVNULL).returncode != 0
