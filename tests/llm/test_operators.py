@@ -323,6 +323,36 @@ def test_passages_of_a_key_are_all_compared(spark, monkeypatch, hot, few):
     assert not [pair for pair in expect if not held[pair[0]] & held[pair[1]]]
 
 
+def test_passage_recall_on_families_of_twins(spark):
+    """Brute force over all pairs of paragraphs, whatever their band keys: how many documents with a
+    partner at the threshold are found."""
+    r, rows, o = random.Random(17), [], passages.Options()
+    for f in range(60):
+        base = [f"f{f}u{i}" for i in range(60)]
+        for m in range(5):
+            copy = list(base)
+            for p in r.sample(range(60), r.choice([3, 4])):
+                copy[p] = f"f{f}m{m}p{p}"
+            twin = list(copy)
+            twin[r.randrange(60)] = f"f{f}t{m}"
+            rows += [(len(rows), " ".join(copy)), (len(rows) + 1, " ".join(twin))]
+    batch, values, at = passages.paragraphs([t for _, t in rows], o)
+    index, sets, owner = defaultdict(list), [], []
+    have, twins = set(), set()
+    for i, (p, d) in enumerate(zip(at.tolist(), batch.doc[at].tolist(), strict=True)):
+        sets.append(frozenset(values[p : p + o.size - 4].tolist()))
+        owner.append(d)
+        for j, n in Counter(j for g in sets[i] for j in index[g]).items():
+            if owner[j] != d and n >= o.threshold * len(sets[i] | sets[j]):
+                have |= {d, owner[j]}
+                if sets[i] != sets[j]:
+                    twins |= {d, owner[j]}
+        for g in sets[i]:
+            index[g].append(i)
+    found = set(passages.repeated(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).toPandas().doc_id)
+    assert len(have) > 300 and found <= have and len(found & have) >= 0.95 * len(have) and len(found & twins) >= 0.95 * len(twins)
+
+
 # decontamination
 
 
