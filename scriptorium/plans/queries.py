@@ -361,6 +361,17 @@ def ensemble_vote(spark, d):
     return vote.vote(_runs(Stages(spark, d)), RUNS)
 
 
+def ensemble_settled(spark, d):
+    deduped, _ = keep(Stages(spark, d).deduped, "deduped")
+    number = F.conv(F.substring("dedup_key", 1, 4), 16, 10).cast("long") % 2
+    votes = deduped.select("doc_id", "dedup_key", (number + 2).alias("votes"))
+    return vote.settle(deduped, votes).select("doc_id", "chunk_id", "op_index", "votes", "outcome", "type", "comment_text")
+
+
+def report_suggestions(spark, d):
+    return report.suggestions(keep(Stages(spark, d).log, "log")[0]).filter("merged_op_indices is not null").select("doc_id", "part", "para_id", "patch_pos", "exact_snippet", "after_snippet", "merged_op_indices")
+
+
 def ensemble_missing(spark, d):
     stages = Stages(spark, d)
     return vote.missing(_runs(stages), stages.members.select("doc_id", "chunk_id").distinct(), RUNS)
@@ -433,7 +444,7 @@ def event_sessions(spark, d):
 
 
 NAMES = (
-    "schema_check", "alternate_ops", "sanitize_conversions", "review_totals", "review_summaries", "failed_in_order", "event_windows", "event_sessions",
+    "schema_check", "ensemble_settled", "report_suggestions", "alternate_ops", "sanitize_conversions", "review_totals", "review_summaries", "failed_in_order", "event_windows", "event_sessions",
     "units_documents", "units_conversations", "units_pages", "doc_struct", "search_literal", "search_literal_ci", "search_regex", "search_summary", "word_unique",
     "chunk_pack", "chunk_manifest", "chunk_tokens", "chunk_context", "chunk_overflow", "chunk_fixes", "chunk_fix_context", "chunk_invariants",
     "synth_ops", "synth_first", "quoted_range_exact", "quoted_range_fuzzy", "sanitize_reasons", "sanitize_log", "ownership", "uid_autofill", "range_resolution",

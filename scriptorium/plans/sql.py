@@ -207,6 +207,10 @@ _step("runs", f"""
   where cast('0x' || substr(sha256(dedup_key || '|' || run), 1, 8) as bigint) % 3 <> 0""", "deduped")
 
 
+_step("voted", "select *, cast('0x' || substr(dedup_key, 1, 4) as bigint) % 2 + 2 as votes from deduped", "deduped")
+_step("rival", f"""
+  select a.doc_id, a.dedup_key, max(b.votes) as most from voted a join voted b on a.doc_id = b.doc_id and a.part = b.part and a.para_id = b.para_id and a.dedup_key <> b.dedup_key and {_overlap('a.range_start', 'a.range_end', 'b.range_start', 'b.range_end')}
+  where a.type in ('replace_range', 'insert_at', 'delete_range') and b.type in ('replace_range', 'insert_at', 'delete_range') group by all""", "voted")
 #: A document's chunks as their ids and the position of each one's last unit; a fix changes both lists.
 _FIXES = " union all ".join(f"select {case} as c, {i} as seq, '{kind}' as type, 'chunk_{left:04d}' as l, 'chunk_{right:04d}' as r, {move} as move" for case, some in enumerate(FIXES) for i, (kind, left, right, move) in enumerate(some))
 _step("fix_start", f"""
@@ -353,4 +357,16 @@ ORACLE_SQL: dict[str, str] = {
       select user_id, min(ts) as start_at, max(ts) + interval 30 minutes as end_at, count(*) as n from (
         select *, sum(fresh) over (partition by user_id order by ts) as run from (select user_id, ts, case when ts <= lag(ts) over (partition by user_id order by ts) + interval 30 minutes then 0 else 1 end as fresh from events))
       group by user_id, run""",
+    "ensemble_settled": _with("""
+      select doc_id, chunk_id, op_index, votes, case when most > votes then 'outvoted' when most = votes then 'tied' else 'kept' end as outcome,
+        case when most = votes then 'add_comment' else type end as type, case when most = votes then 'Tied vote: ' || type else comment_text end as comment_text
+      from voted left join rival using (doc_id, dedup_key)""", "voted", "rival"),
+    "report_suggestions": _with(f"""
+      select doc_id, part, para_id, cast(min(patch_pos) as integer) as patch_pos, any_value(substr(unit_text, lo + 1, hi - lo)) as exact_snippet, string_agg(case when range_start = lo then '' else substr(unit_text, last + 1, range_start - last) end || coalesce(replacement, ''), '' order by range_start) as after_snippet,
+        string_agg(patch_pos, ',' order by patch_pos) as merged_op_indices
+      from (select *, min(range_start) over (partition by doc_id, part, para_id, run) as lo, max(range_end) over (partition by doc_id, part, para_id, run) as hi from (
+        select *, sum(fresh) over (partition by doc_id, part, para_id order by range_start, range_end) as run from (
+          select *, cast(last is null or range_start - last > {ADJACENT_GAP} or regexp_matches(substr(unit_text, last + 1, greatest(0, range_start - last)), '[.!?]') as integer) as fresh from (
+            select *, lag(range_end) over (partition by doc_id, part, para_id order by range_start, range_end) as last from log where status = 'applied' and type = 'replace_range'))))
+      group by doc_id, part, para_id, run having count(*) > 1""", "log"),
 }

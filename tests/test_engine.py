@@ -14,7 +14,7 @@ from scriptorium.functions import fuzzy, jsontext
 from scriptorium.functions.offsets import overlap, utf16_length, utf16_slice
 from scriptorium.functions.schema import schema_faults
 from scriptorium.functions.text import collapse, quote, render, shorten, target_label
-from scriptorium.operators import apply, chunk, fixes, merge, overrides, report, review, sanitize, search
+from scriptorium.operators import apply, chunk, fixes, merge, overrides, report, review, sanitize, search, vote
 from scriptorium.plans.pipeline import Pipeline
 from scriptorium.sinks import docx as docx_sink
 from scriptorium.sinks.files import json_report, markdown
@@ -261,6 +261,28 @@ def test_apply_and_report(spark):
     assert sorted(x.merged_op_indices for x in report.adjacent(log).collect()) == ["0,1", "2"] and who.count() == 3
 
 
+def test_report_rules(spark):
+    """Neighbouring replacements are one suggestion; white space, commas and stars in the Markdown."""
+    text = "Two cats and dogs sleep , here. The C*D key."
+    u = units(spark, text, " indented")
+    at = lambda w: (text.index(w), text.index(w) + len(w))
+    rows = [op(0, "replace_range", 0, *at("cats"), "cats", "cat"), op(1, "replace_range", 0, *at("dogs"), "dogs", "dog"), op(2, "replace_range", 0, *at("sleep ,"), "sleep ,", "rest ,"), op(3, "replace_range", 0, *at("C*D"), "C*D", "C*E"), op(4, "replace_range", 1, 0, 1, " ", "")]
+    patch = spark.createDataFrame(rows, OP).withColumns({"patch_pos": F.col("op_index"), "accepted_text": F.lit("")})
+    log = apply.check(patch, u)
+    got = {x.merged_op_indices: (x.exact_snippet, x.after_snippet) for x in report.suggestions(log).collect()}
+    assert got["0,1,2"] == ("cats and dogs sleep ,", "cat and dog rest ,") and len(got) == 2 and report.suggestions(log).count() == 3
+    made = markdown(report.suggestions(log), report.failed(log)).first().markdown
+    assert "**cat and dog rest,**" in made and "␠" in made and "C\\*E" in made and "**C" not in made
+
+
+def test_tied_votes(spark):
+    rows = [op(0, "replace_range", 0, 0, 4, "x", "a"), op(1, "replace_range", 0, 2, 6, "x", "b"), op(2, "replace_range", 0, 10, 12, "x", "c"), op(3, "replace_range", 0, 11, 14, "x", "d"), op(4, "insert_at", 0, 20, 20, "", "e"), op(5, "add_comment", 0, 0, 4, "x", "f")]
+    ops = spark.createDataFrame(rows, OP).withColumn("dedup_key", F.col("op_index").cast("string"))
+    votes = spark.createDataFrame([(1, "0", 3), (1, "1", 2), (1, "2", 2), (1, "3", 2), (1, "4", 2), (1, "5", 2)], "doc_id long, dedup_key string, votes long")
+    got = {x.op_index: (x.outcome, x.type) for x in vote.settle(ops, votes).collect()}
+    assert got == {0: ("kept", "replace_range"), 1: ("outvoted", "replace_range"), 2: ("tied", "add_comment"), 3: ("tied", "add_comment"), 4: ("kept", "insert_at"), 5: ("kept", "add_comment")}
+
+
 def test_quotes(spark):
     text = "This sentence is for testing the judge reconciliation logic in practice."
     assert fuzzy.locate("This sentence is for [[testing]] the judge reconciliation logic.", text) == (21, 28)
