@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..tables import drop, keep
+from ..tables import drop, keep, stable
 from .words import groups_of, mix64, split_folded
 
 ENDS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -146,7 +146,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, o: Options = Options(),
     """One row for each row of docs and item that its tiles cover to the threshold: key, item,
     coverage, tiles (number) and longest (words), and __row, which names the row of docs.
 
-    Null and empty texts have no words and match nothing; items without words are left out, and
+    Keys and items are integers. Null and empty texts have no words and match nothing; items without words are left out, and
     an item shorter than a seed is its own seed. Repeated rows of docs each get their rows. An
     empty table on either side gives no rows. Other columns are not read.
     """
@@ -162,7 +162,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, o: Options = Options(), key: st
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, o: Options, body: str, item: str) -> DataFrame:
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, stable(docs, "decontaminate-input")
     seeds, seeds_at = keep(benchmark.select(benchmark[item].alias("item"), benchmark[body].alias("t")).mapInArrow(_item_seeds(o), "item long, seed long, size int, times int, total int, words binary"), "items")
     bitmap = np.zeros(1 << o.bits, bool)
     set_bits = seeds.filter("seed is not null").select(F.expr(f"seed & {(1 << o.bits) - 1}").alias("b")).distinct()

@@ -25,8 +25,8 @@ from .words import JAVA_TOKEN, count_words
 PRIME, HIGH = 2147483647, 2147483648
 #: Rounds of the index permutations.
 ROUNDS = 10
-#: Shards whose slots one task makes, and whose counts are summed together.
-RUN = 64
+#: Shards whose slots are made together, and whose counts are summed together.
+RUN = 8
 
 
 def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]) -> DataFrame:
@@ -50,35 +50,30 @@ def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]
     return place.withColumn("__target", F.least(F.col("__most"), F.coalesce(level * F.col("__w"), F.col("__most")))).drop("__free", "__level", "__most")
 
 
-def _round(i: str, n: str, salt: str, div: str) -> tuple[str, str, str]:
-    """SQL for round i of a permutation of 0 to n - 1: the mirror image of place v around a key,
-    and from the larger of the two (top) whether they swap. All products stay below 2^63; places
-    above 2^31 take part with their high and their low digits."""
-    a, b = f"(({salt} * 7919 + {i} * 1299721 + 12345) % {PRIME})", f"(({salt} * 104729 + {i} * 611953 + 1) % {PRIME})"
+def _rounds(x: str, n: str, salt: str, div: str) -> tuple[str, str, str]:
+    """SQL of a round (step) of a permutation of 0 to n - 1: the mirror image m of place v around a
+    key, a mixture y of the larger of place w and m, and from y whether they swap. All products
+    stay below 2^63; places above 2^31 take part with their high and their low digits."""
+    a, b = f"(({salt} * 7919 + step * 1299721 + 12345) % {PRIME})", f"(({salt} * 104729 + step * 611953 + 1) % {PRIME})"
     mirror = f"((({a} * 48271 % {PRIME}) * {HIGH} + {b} * 69621 % {PRIME}) % {n} + {n} - v) % {n}"
-    mixed = f"((top % {PRIME}) * ({a} % 65536 + 1) + (top {div} {PRIME}) * ({b} % 65536 + 1) + {b}) % {PRIME}"
-    return mirror, mixed, f"(x * ((x + {a}) % {PRIME}) % {PRIME}) {div} 64 % 2 = 1"
+    mixed = f"((greatest(w, m) % {PRIME}) * ({a} % 65536 + 1) + (greatest(w, m) {div} {PRIME}) * ({b} % 65536 + 1) + {b}) % {PRIME}"
+    return mirror, mixed, f"(y * ((y + {a}) % {PRIME}) % {PRIME}) {div} 64 % 2 = 1"
 
 
-def permuted(df: DataFrame, x: str, n: str, salt: str) -> DataFrame:
-    """df with the column v: x through a pseudorandom permutation of 0 to n - 1, a swap-or-not
-    shuffle. Each round pairs every place with its mirror image around a key, and a bit of the pair
-    decides whether they swap. Rounds are projections, which compile to one method. The optimizer
-    would write filters on v out in terms of x, many times longer with each round; it doesn't look
-    into the generator that hands v on."""
-    df = df.withColumn("v", F.col(x).cast("long"))
-    for i in range(1, ROUNDS + 1):
-        mirror, mixed, swap = _round(f"{i}L", n, salt, "div")
-        df = df.withColumn("mirror", F.expr(mirror)).withColumn("top", F.greatest("v", "mirror")).withColumn("x", F.expr(mixed))
-        df = df.withColumn("v", F.expr(f"if({swap}, mirror, v)"))
-    return df.withColumnRenamed("v", "__v").select("*", F.explode(F.array("__v")).alias("v")).drop("mirror", "top", "x", "__v")
+def permuted(x: str, n: str, salt: str) -> str:
+    """SQL for a pseudorandom permutation of 0 to n - 1 (long numbers): a swap-or-not shuffle. Each
+    round pairs every place with its mirror image around a key, and a bit of the pair decides
+    whether they swap. Lists of one element hand values on within a round."""
+    mirror, mixed, swap = _rounds(x, n, salt, "div")
+    inner = f"aggregate(array({mixed}), w, (u, y) -> if({swap}, m, u))"
+    return f"aggregate(sequence(1L, {ROUNDS}L), cast({x} as bigint), (v, step) -> aggregate(array({mirror}), v, (w, m) -> {inner}))"
 
 
 def permuted_sql(x: str, n: str, salt: str) -> str:
     """The same permutation in DuckDB's SQL."""
-    mirror, mixed, swap = _round("step", n, salt, "//")
-    top = f"greatest(v, {mirror})"
-    swap = swap.replace("(x * ((x + ", f"(({mixed.replace('top', top)}) * ((({mixed.replace('top', top)}) + ")
+    mirror, mixed, swap = _rounds(x, n, salt, "//")
+    mixed = mixed.replace("greatest(w, m)", f"greatest(v, {mirror})")
+    swap = swap.replace("y", f"({mixed})")
     return f"list_reduce(list_prepend(cast({x} as bigint), range(1, {ROUNDS + 1})), lambda v, step: case when {swap} then {mirror} else v end)"
 
 
@@ -173,11 +168,13 @@ def draw(sources: DataFrame, block: int, shard_slots: int, seed: int) -> DataFra
     wanted = wanted.select("__id", (F.col("__got") + F.col("__j")).alias("__i"), (F.col("__lack_first") + F.col("__j")).alias("__r"))
     slots = stay.union(spare.join(wanted, "__r").select("shard", "slot", "__id", "__i"))
 
-    slots = slots.join(quota.select("__id", "__size", "__n", "__whole", "__full", "__words"), "__id")
+    # few bytes here, but much work for each row: adaptive planning would put them into few tasks
+    slots = slots.repartition(tasks, "shard", "slot").join(quota.select("__id", "__size", "__n", "__whole", "__full", "__words"), "__id")
     slots = slots.withColumns({"pass": F.expr("__i div __n"), "__j": F.expr("__i % __n")})
     # the short block at a source's end stays last, so the words before an index are known
-    slots = permuted(slots.withColumn("__m", F.greatest(F.lit(1), F.col("__whole"))), "__j", "__m", f"(__id * 2 + pass + {seed % 1000} * 1009)")
-    slots = slots.withColumn("block", F.expr("if(__j < __whole, v, __j)"))
+    place = permuted("__j", "__whole", f"(__id * 2 + pass + {seed % 1000} * 1009)")
+    # a generator, so that filters on the block don't compute it once more
+    slots = slots.select("*", F.explode(F.array(F.expr(f"if(__j < __whole, {place}, __j)"))).alias("block"))
     length = f"if(block < __whole, {block}L, __size - __whole * {block}L)"
     slots = slots.withColumn("take", F.expr(f"if(pass < __full, {length}, least({length}, __words - __full * __size - __j * {block}L))"))
     return slots.select("__id", "block", "pass", "take", "shard", "slot")

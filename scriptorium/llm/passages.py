@@ -379,7 +379,7 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     (words of the text, end exclusive), cluster (the smallest of the span's clusters), removed
     (another document keeps the passage) and __doc, which names the row of docs.
 
-    Null texts and texts with fewer words than a paragraph have no spans; passages that only one
+    Keys are integers. Null texts and texts with fewer words than a paragraph have no spans; passages that only one
     document repeats are none either. Rows with equal keys are documents of their own; among
     equal keys the first read keeps a passage, and a null key never keeps what others hold. An
     empty table gives no rows; other columns are not read.

@@ -90,11 +90,12 @@ def test_mix_is_made_of_blocks_and_reruns_agree(spark):
 def test_permutation_is_a_bijection(spark):
     sizes = (1, 2, 3, 10, 97, 1000)
     frame = spark.createDataFrame([(n, i) for n in sizes for i in range(n)], "n long, i long")
-    got = mixing.permuted(frame, "i", "n", "5L").toPandas()
+    frame = frame.selectExpr("n", "i", f"{mixing.permuted('i', 'n', '5L')} as v")
+    got = frame.toPandas()
     assert all(sorted(g.v) == list(range(n)) for n, g in got.groupby("n")) and (got.i != got.v).mean() > 0.9
     n = 3 * 10**12  # far beyond 2^31: no repeats, places that a multiple of 2^31 - 1 parts are not moved alike
     frame = spark.createDataFrame([(n, i + k * 2147483647) for i in range(100) for k in range(10)], "n long, i long")
-    got = mixing.permuted(frame, "i", "n", "5L").toPandas().v.to_numpy()
+    got = frame.selectExpr(f"{mixing.permuted('i', 'n', '5L')} as v").toPandas().v.to_numpy()
     assert len(set(got)) == 1000 and got.min() >= 0 and got.max() < n and abs(got.mean() / n - 0.5) < 0.06 and Counter(np.diff(got.reshape(100, 10)).ravel().tolist()).most_common(1)[0][1] < 45
 
 
