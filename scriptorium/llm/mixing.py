@@ -11,6 +11,10 @@ pass over the source), and slots and blocks meet in an equi-join.
 
 The last slot of a source may take only the first words of its block, so a source's words come
 to its target rounded to a whole word. No block is used in more passes than the cap.
+
+Slots are drawn once and numbered once, into tables. Their sizes as files, and what the planner
+makes of sequences that are exploded, say little about their rows in memory, so joins with a side
+that grows with the corpus are merge joins by hint: none of them is broadcast through the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sharding import bucket_count, shuffle_hash, stratum
-from ..tables import keep
+from ..tables import drop, keep
 from .words import JAVA_TOKEN, count_words
 
 PRIME, HIGH = 2147483647, 2147483648
@@ -108,7 +112,7 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[i
     sums = sums.select("__s", "__b", before.alias("__before")).join(sources.select("__s", "__id", "__size", "__target"), "__s")
     inside = Window.partitionBy("__s", "__b").orderBy("__h", key, "size", "__t")
     placed = base.withColumns({"__r": F.row_number().over(inside), "__start": F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")})
-    placed = placed.join(sums, ["__s", "__b"]).withColumn("__start", F.col("__start") + F.col("__before"))
+    placed = placed.join(sums.hint("merge"), ["__s", "__b"]).withColumn("__start", F.col("__start") + F.col("__before"))
 
     piece = f"greatest(b * {block}L, __start) - __start as begin, least((b + 1) * {block}L, __start + size) - greatest(b * {block}L, __start) as n"
     piece = f"struct(b as block, {piece}" + (f", array_join(slice(w, cast(greatest(b * {block}L, __start) - __start + 1 as int), cast(least((b + 1) * {block}L, __start + size) - greatest(b * {block}L, __start) as int)), '') as text)" if text else ")")
@@ -121,7 +125,7 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[i
 
     slots = draw(sources, block, shard_slots, seed)
     offset = F.expr(f"__start + begin - block * {block}L")
-    used = pieces.join(slots, ["__id", "block"], "left").withColumn("words", F.greatest(F.lit(0), F.least(offset + F.col("n"), F.coalesce("take", F.lit(0))) - offset))
+    used = pieces.join(slots.hint("merge"), ["__id", "block"], "left").withColumn("words", F.greatest(F.lit(0), F.least(offset + F.col("n"), F.coalesce("take", F.lit(0))) - offset))
     if text:  # of the last block of a source perhaps only the first words are taken
         part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(JAVA_TOKEN), F.lit(0)), F.lit(1), F.col("words").cast("int")), "")
         used = used.withColumn("text", F.when(F.col("words") == F.col("n"), F.col("text")).when(F.col("words") > 0, part))
@@ -144,16 +148,17 @@ def draw(sources: DataFrame, block: int, shard_slots: int, seed: int) -> DataFra
     chance = shuffle_hash(F.concat_ws(":", "shard", "slot"), seed + 1) / F.lit(4294967296)
     # the first source whose share of the running sum of quotas lies above the chance
     place = F.size(F.filter("__to", lambda t: t <= F.col("__u")))
-    drawn = slots.withColumn("__u", chance).select("__run", "shard", "slot", F.get(F.col("__ids"), place).alias("__id"))
+    # read twice: for the counts and for the slots
+    drawn, drawn_at = keep(slots.withColumn("__u", chance).select("__run", "shard", "slot", F.get(F.col("__ids"), place).alias("__id")), "mix-drawn")
 
-    counts, _ = keep(drawn.groupBy("__id", "__run", "shard").agg(F.count("*").alias("__c")), "mix-counts")
+    counts, counts_at = keep(drawn.groupBy("__id", "__run", "shard").agg(F.count("*").alias("__c")), "mix-counts")
     upto = lambda w: F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__c")
     by_run = counts.groupBy("__id", "__run").agg(F.sum("__c").alias("__c"))
     by_run = by_run.select("__id", "__run", upto(Window.partitionBy("__id").orderBy("__run")).alias("__run_first"))
-    first = counts.withColumn("__first", upto(Window.partitionBy("__id", "__run").orderBy("shard"))).join(by_run, ["__id", "__run"])
+    first = counts.withColumn("__first", upto(Window.partitionBy("__id", "__run").orderBy("shard"))).join(by_run.hint("merge"), ["__id", "__run"])
     first = first.select("__id", "shard", (F.col("__first") + F.col("__run_first")).alias("__first"))
     own = Window.partitionBy("shard", "__id").orderBy("slot")
-    numbered = drawn.withColumn("__i", F.row_number().over(own)).join(first, ["shard", "__id"]).withColumn("__i", F.col("__first") + F.col("__i") - 1)
+    numbered = drawn.withColumn("__i", F.row_number().over(own)).join(first.hint("merge"), ["shard", "__id"]).withColumn("__i", F.col("__first") + F.col("__i") - 1)
 
     # the last step: what a source has beyond its quota, and what the others lack
     got = quota.join(counts.groupBy("__id").agg(F.sum("__c").alias("__got")), "__id", "left").fillna(0, ["__got"])
@@ -161,12 +166,13 @@ def draw(sources: DataFrame, block: int, shard_slots: int, seed: int) -> DataFra
     order = Window.orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
     got = got.withColumns({"__over_first": F.sum("__over").over(order) - F.col("__over"), "__lack_first": F.sum("__lack").over(order) - F.col("__lack")})
     short, _ = keep(got.select("__id", "__q", "__got", "__over_first", "__lack_first", "__lack"), "mix-short")
-    inside = numbered.join(short.select("__id", "__q", "__over_first"), "__id").withColumn("__spare", F.col("__i") - F.col("__q"))
+    inside, _ = keep(numbered.select("shard", "slot", "__id", "__i").join(short.select("__id", "__q", "__over_first"), "__id").withColumn("__spare", F.col("__i") - F.col("__q")), "mix-numbered")
+    drop(sources.sparkSession, drawn_at, counts_at)
     stay = inside.filter("__spare < 0").select("shard", "slot", "__id", "__i")
     spare = inside.filter("__spare >= 0").select("shard", "slot", (F.col("__over_first") + F.col("__spare")).alias("__r"))
     wanted = short.filter("__lack > 0").select(F.col("__id"), F.explode(F.expr("sequence(0L, __lack - 1)")).alias("__j"), "__got", "__lack_first")
     wanted = wanted.select("__id", (F.col("__got") + F.col("__j")).alias("__i"), (F.col("__lack_first") + F.col("__j")).alias("__r"))
-    slots = stay.union(spare.join(wanted, "__r").select("shard", "slot", "__id", "__i"))
+    slots = stay.union(spare.join(wanted.hint("merge"), "__r").select("shard", "slot", "__id", "__i"))
 
     # few bytes here, but much work for each row: adaptive planning would put them into few tasks
     slots = slots.repartition(tasks, "shard", "slot").join(quota.select("__id", "__size", "__n", "__whole", "__full", "__words"), "__id")
@@ -201,12 +207,15 @@ def documents(docs: DataFrame, **options) -> DataFrame:
     with the other columns of the document. A column n_chars gets the new text's length."""
     key, body = options.get("key", "doc_id"), options.get("body", "text")
     source = options.get("source", "source")
-    rest = [c for c in docs.columns if c not in (key, body)]
-    packed = docs.select(key, body, source, F.struct(*[docs[c] for c in rest]).alias("__rest")) if rest else docs
-    use = plan(packed.select("*"), text=True, carry="__rest", **options).filter("words > 0")
-    part = F.array_sort(F.collect_list(F.struct("begin", "text")))
-    out = use.groupBy("__row", "pass", key).agg(F.first("__rest").alias("__rest"), F.array_join(F.transform(part, lambda p: p["text"]), "").alias(body))
-    column = {key: F.col(key), body: F.col(body)} | {c: F.col("__rest")[c] for c in rest}
+    # places in a written table don't change, so texts stay out of the plan and join its result once
+    rows, _ = keep(docs.withColumn("__rid", F.monotonically_increasing_id()), "mix-rows")
+    use = plan(rows.select(key, body, source, "__rid"), carry="__rid", **options).filter("words > 0")
+    part = use.groupBy("__rid", "pass").agg(F.array_sort(F.collect_list(F.struct("begin", "words"))).alias("parts"))
+    passes = part.groupBy("__rid").agg(F.array_sort(F.collect_list(F.struct("pass", "parts"))).alias("__passes"))
+    split = rows.join(passes.hint("merge"), "__rid").withColumn("__w", F.regexp_extract_all(body, F.lit(JAVA_TOKEN), F.lit(0)))
+    taken = "transform(__passes, p -> array_join(flatten(transform(p.parts, q -> slice(__w, cast(q.begin + 1 as int), cast(q.words as int)))), ''))"
+    out = split.select(*[c for c in docs.columns if c != body], F.explode(F.expr(taken)).alias(body))
+    column = {c: F.col(c) for c in docs.columns}
     if "n_chars" in column:
         column["n_chars"] = F.length(body).cast(docs.schema["n_chars"].dataType)
     return out.select(*[column[c].alias(c) for c in docs.columns])

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and on the cases that data brings."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -122,6 +123,31 @@ def test_mix_counts_of_shards(spark):
     assert all(sorted(g.block) == list(range(quotas[i])) for i, g in slots.groupby("__id"))
 
 
+def test_mix_broadcasts_no_slots(spark, monkeypatch):
+    """Only tables with a row for each source are broadcast, and slots are drawn once."""
+    plans, keep = [], mixing.keep
+    look = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(mixing, "keep", lambda df, name: (look(df), keep(df, name))[1])
+    df = spark.createDataFrame(docs(3, 100), SCHEMA)
+    look(mixing.taken(df, block=16, shard_slots=8))
+    look(mixing.documents(df, block=16, shard_slots=8))
+    joins = {tuple(re.sub(r"#\d+L?", "", k).split(", ")) for p in plans for k in re.findall(r"BroadcastHashJoin \[([^\]]*)\]", p)}
+    assert joins <= {("__id",), ("__s",)}
+    # the chance of a slot is computed in one plan of each call
+    assert sum("filter(__to" in p for p in plans) == 2
+
+
+def test_mix_hands_columns_on(spark):
+    """Rows with equal keys and texts keep their own other columns, and names of the plan's columns are free."""
+    r = random.Random(4)
+    texts = [" ".join(f"u{r.randrange(10**6)}" for _ in range(40)) for _ in range(30)]
+    df = spark.createDataFrame([(i % 3, texts[i // 2], "s", i, f"  {i}") for i in range(60)], "doc_id long, text string, source string, begin long, pass string").repartition(3)
+    out = mixing.documents(df, block=16, shard_slots=8).toPandas()
+    assert list(out.columns) == df.columns and set(out.begin) == set(range(60))
+    for x in out.itertuples():
+        assert x.doc_id == x.begin % 3 and x[5] == f"  {x.begin}" and words(x.text) and f" {x.text.strip()} " in f" {texts[x.begin // 2]} " or len(words(x.text)) < 40
+
+
 def test_mix_odd_rows(odd, none):
     out = mixing.taken(odd).toPandas()
     assert len(out) == len(ODD) and (out.taken <= 2 * out["size"]).all()
