@@ -40,7 +40,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The index of the token files, read back from them. Python workers serve all stages, so this
     one keeps little between tasks."""
-    return token_files.round_trip(docs, tokenizer_path(), group_chars=2_000_000, cache=50_000)
+    return token_files.round_trip(docs, tokenizer_path(), group_chars=2_000_000, cache=50_000, kept=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..tables import keep, new_folder
-from .words import groups_of, trim
+from .words import slices_of, trim
 
 MAGIC = b"SCRPFOR1"
 BLOCK, LANES = 256, 64
@@ -246,19 +246,23 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for all tasks that a Python worker runs."""
+def encoder(path: str, kept: bool = True) -> Encoder:
+    """One encoder for all tasks that a Python worker runs; with kept=False the worker gives it up
+    to the caller, and its memory goes with the task."""
+    if not kept:
+        return _encoders.pop(path, None) or Encoder(path)
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files: int | None = None, group_chars: int = 10_000_000, cache: int = CACHE, key: str = "doc_id", body: str = "text") -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files: int | None = None, group_chars: int = 10_000_000, cache: int = CACHE, kept: bool = True, key: str = "doc_id", body: str = "text") -> DataFrame:
     """Writes all documents as token files into folder and returns the manifest: file, part
     and seq (the order of the files), documents, ids and first_id (ids of all files before).
 
     Texts of group_chars characters together are encoded at once and the ids of `cache` segments
-    kept between them: both trade memory of a task for time.
+    kept between them: both trade memory of a task for time. With kept=False a worker that goes on
+    to other work does not hold the tokenizer after its task.
 
     Keys are integers. Null texts have the end id alone. Null keys come first; rows with equal keys
     are ordered by a hash of their texts and then by the texts, so that a key which very many rows
@@ -275,7 +279,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files:
 
         task = TaskContext.get()
         part, attempt = task.partitionId(), task.taskAttemptId()
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, kept)
         encode.most = cache
         keys, ids, made, total = [], [], [], 0
 
@@ -288,16 +292,20 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, files:
             keys, ids, total = [], [], 0
 
         for batch in batches:
-            k, t = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in groups_of(t, group_chars):
-                for one, got in zip(k[lo:hi], encode(t[lo:hi]), strict=True):
+            k, sizes = batch.column(0).to_pylist(), pc.utf8_length(batch.column(1)).to_pylist()
+            for lo, hi in slices_of(sizes, group_chars):
+                texts = batch.column(1).slice(lo, hi - lo).to_pylist()
+                for one, got in zip(k[lo:hi], encode(texts), strict=True):
                     keys.append(one)
                     ids.append(np.append(got, np.uint32(end_id)))
                     total += len(got) + 1
                     if total >= FILE_IDS:
                         close()
+                texts = got = None
+                trim()
         if keys:
             close()
+        encode = None
         trim()
         if made:
             columns = list(zip(*made, strict=True))
@@ -341,6 +349,8 @@ def read(folder: str, manifest: DataFrame, with_ids: bool = False) -> DataFrame:
                 if with_ids:
                     columns.append(pa.array([raw[a:b].astype(np.int64) for a, b in zip(start, stop, strict=True)], pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ddl.split(", ")])
+                del f, raw, view, columns
+                trim()
 
     if manifest.isEmpty():
         return spark.createDataFrame([], shape).drop("file")

@@ -98,12 +98,17 @@ def trim() -> None:
 
 def groups_of(texts, most_chars: int):
     """Slices of a list of texts with at most so many characters each, or one longer text."""
+    yield from slices_of([len(t) if t else 0 for t in texts], most_chars)
+
+
+def slices_of(sizes, most: int):
+    """Slices of a list of sizes (null: 0) with a sum of at most so much each, or one larger size."""
     start = size = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if i > start and size + n > most_chars:
+    for i, n in enumerate(sizes):
+        n = n or 0
+        if i > start and size + n > most:
             yield start, i
             start, size = i, 0
         size += n
-    if len(texts) > start:
-        yield start, len(texts)
+    if len(sizes) > start:
+        yield start, len(sizes)

@@ -461,6 +461,13 @@ def test_encoder_equals_tokenizer():
         assert got.tolist() == fresh.encode(t or "", add_special_tokens=False).ids
 
 
+def test_encoder_is_given_up():
+    path = tokenizer_path()
+    held = token_files.encoder(path)
+    assert token_files.encoder(path, kept=False) is held and path not in token_files._encoders
+    assert token_files.encoder(path, kept=False) is not held and path not in token_files._encoders
+
+
 def test_token_files(spark, odd, none):
     frame = odd.union(spark.createDataFrame([(k, t, *_) for k, t, *_ in docs(12, 80)] + [(99, "a <|endoftext|> b<|endoftext|>", None, None, 0)], SCHEMA)).repartition(5)
     out = token_files.round_trip(frame, tokenizer_path(), files=4).toPandas()
