@@ -13,8 +13,9 @@ anchor, and the `size` words from an anchor on are a paragraph. Documents that s
 3. Candidates' shingles are read from their documents' texts. All contents of a key are compared
    by exact Jaccard, keys with the same contents once. A few contents are compared pair by pair; more by
    widening components through an index of their shingles, so that contents which links connect
-   already are not compared again; those of keys with more than HOT contents by the exact join
-   of `jaccard_join`, whose work is spread over tasks.
+   already are not compared again. Keys with more than HOT contents are dealt into parts of so
+   many, and each two parts are widened in one place: a content is sent once for each part, and
+   no row is made for a pair of contents.
 4. Components of the contents are clusters of passages. A cluster's passages stay in the document
    with the smallest key and are removals in the others; paragraphs that overlap are one span.
 """
@@ -31,13 +32,13 @@ from pyspark.sql import functions as F
 
 from ..tables import drop, keep, settle, stable
 from .components import components
-from .jaccard_join import DEN, GROUP_DOCS, NUM, _again, _join, _links, bucket_number
+from .jaccard_join import GROUP_DOCS, _join, bucket_number
 from .words import Batch, groups_of, mix64, trim
 
 SHINGLE = 5
 GROUP_CHARS = 3_000_000
-#: The most contents of a band key that are compared in one place, and pair by pair.
-HOT, FEW = 4096, 24
+#: The most contents of a part of a band key (two parts are compared in one place), and of a key compared pair by pair.
+HOT, FEW = 1 << 14, 24
 
 
 @dataclass(frozen=True)
@@ -178,7 +179,7 @@ def _pack(o: Options, buckets: int):
 def _meet(o: Options, buckets: int):
     """Contents that other groups hold too, and the contents that meet in a band key. Keys are told
     apart by the contents they hold: two keys with the same ones are one."""
-    most = HOT if o.threshold == NUM / DEN else np.inf
+    most = HOT
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -285,11 +286,13 @@ def _shingles(o: Options):
     return run
 
 
-def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed shingles as arrays."""
-    for rows in batches:
-        sets = [np.frombuffer(s.as_buffer(), "<u4").astype(np.int64) for s in rows.column(1)]
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["rid", "n", "shared"])
+def _parts(hot: DataFrame, most: int) -> DataFrame:
+    """Rows (met, gid, place) of keys with more than `most`, dealt into parts of about so many: for
+    each two parts (a part with itself included) a key of its own, so all rows of a key meet."""
+    parts = hot.groupBy("met").agg(F.expr(f"(count(*) + {most - 1}) div {most}").alias("parts"))
+    dealt = hot.join(parts, "met").withColumn("own", F.pmod(F.xxhash64("gid", "place"), F.col("parts")))
+    dealt = dealt.select("met", "gid", "place", "own", F.explode(F.expr("sequence(0L, parts - 1)")).alias("other"))
+    return dealt.select(F.xxhash64("met", F.least("own", "other"), F.greatest("own", "other")).alias("met"), "gid", "place")
 
 
 def _near(o: Options):
@@ -351,23 +354,36 @@ def _widen(rows: np.ndarray, o: Options, values, start, n, gid, place) -> np.nda
     size, gid, place = n[rows], gid[rows], place[rows]
     offset = np.concatenate(([0], np.cumsum(size)))
     flat = values[np.repeat(start[rows] - offset[:-1], size) + np.arange(offset[-1])]
-    _, token = np.unique(flat, return_inverse=True)
+    distinct, token = np.unique(flat, return_inverse=True)
+    owner = np.repeat(np.arange(k), size)
     order = np.argsort(token, kind="stable")
-    holders = np.repeat(np.arange(k), size)[order]
-    first = np.concatenate(([0], np.cumsum(np.bincount(token))))
-    label, open_ = np.full(k, -1), k
+    by_token, by_owner = token[order], owner[order]
+    label = np.full(k, -1)
+
+    def index() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The contents without a component, and for each token which of them hold it."""
+        alive = np.flatnonzero(label < 0)
+        use = label[by_owner] < 0
+        first = np.concatenate(([0], np.cumsum(np.bincount(by_token[use], minlength=len(distinct)))))
+        return alive, np.searchsorted(alive, by_owner[use]), first
+
+    (alive, holders, first), open_ = index(), k
     for seed in range(k):
         if label[seed] >= 0:
             continue
         label[seed], open_ = seed, open_ - 1
         border = [seed]
         while border and open_:
+            if 2 * open_ <= len(alive):  # most of what the index holds is done
+                alive, holders, first = index()
             x = border.pop()
             held = token[offset[x] : offset[x + 1]]
             near = np.concatenate([holders[a:b] for a, b in zip(first[held].tolist(), first[held + 1].tolist(), strict=True)])
-            inter = np.bincount(near[label[near] < 0], minlength=k)
-            linked = (inter > 0) & (inter >= o.threshold * (size + size[x] - inter)) & ((gid != gid[x]) | (np.abs(place - place[x]) >= o.size))
-            new = np.flatnonzero(linked)
+            inter = np.bincount(near, minlength=len(alive))
+            some = np.flatnonzero(inter)
+            other, inter = alive[some], inter[some]
+            linked = (label[other] < 0) & (inter >= o.threshold * (size[other] + size[x] - inter)) & ((gid[other] != gid[x]) | (np.abs(place[other] - place[x]) >= o.size))
+            new = other[linked]
             label[new] = seed
             open_ -= len(new)
             border += new.tolist()
@@ -400,17 +416,9 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     settle(spark)
 
     which = ["gid", "place"]
-    cold = found.filter("kind = 4").select("met", *which).distinct().join(shingles, which).select(F.pmod("met", F.lit(buckets)).alias("bucket"), "met", "content", *which, "s")
-    edges, edges_at = keep(cold.groupBy("bucket").applyInArrow(_near(o), "a long, b long").filter("a <> b").distinct(), "edges")
-    edges_at = [edges_at]
-    hot = found.filter("kind = 5").select(*which).distinct()
-    if not hot.isEmpty():
-        hot = hot.join(shingles, which).select("content", "s").dropDuplicates(["content"]).mapInArrow(_long, "rid long, n long, shared array<long>")
-        rows = [F.array_min(F.transform("shared", lambda x, k=k: F.xxhash64(x, F.lit(k)))).alias(f"m{k}") for k in (1, 2, 3, 4)]
-        dense, dense_at = keep(hot.select("rid", "n", *rows, "shared"), "dense")
-        links, links_at = _links(*_again(dense))
-        edges = edges.union(links)
-        edges_at += [dense_at, *links_at]
+    met = lambda kind: found.filter(f"kind = {kind}").select("met", *which).distinct()
+    compared = met(4).union(_parts(met(5), HOT)).join(shingles, which).select(F.pmod("met", F.lit(buckets)).alias("bucket"), "met", "content", *which, "s")
+    edges, edges_at = keep(compared.groupBy("bucket").applyInArrow(_near(o), "a long, b long").filter("a <> b").distinct(), "edges")
     labels = components(edges)
 
     # every paragraph of a content that occurs again or belongs to a component
@@ -429,5 +437,5 @@ def repeated(docs: DataFrame, o: Options = Options(), key: str = "doc_id", body:
     placed = placed.withColumn("span", F.sum(F.coalesce(fresh.cast("int"), F.lit(1))).over(order))
     out = placed.groupBy("did", "key", "span").agg(F.min("begin").alias("begin"), (F.max("begin") + o.size).alias("end"), F.min("cluster").alias("cluster"), F.first("removed").alias("removed"))
     out, _ = keep(out.select(F.col("key").alias(key), "begin", "end", "cluster", "removed", F.col("did").alias("__doc")), "spans")
-    drop(spark, found_at, shingles_at, *edges_at, member_at, named_at, cluster_at)
+    drop(spark, found_at, shingles_at, edges_at, member_at, named_at, cluster_at)
     return out

@@ -350,6 +350,59 @@ def test_passages_of_a_key_are_all_compared(spark, monkeypatch, hot, few):
     assert not [pair for pair in expect if not held[pair[0]] & held[pair[1]]]
 
 
+def test_passages_of_hot_keys_make_no_pairs(spark, monkeypatch):
+    """One key with many contents, most of which do not link: no table has a row for each two of them."""
+    rows_of = {}
+    for module in (passages, components, jaccard_join):
+        def kept(df, name, keep=module.keep):
+            out, path = keep(df, name)
+            rows_of[name] = max(rows_of.get(name, 0), out.count())
+            return out, path
+        monkeypatch.setattr(module, "keep", kept)
+    monkeypatch.setattr(passages, "HOT", 100)
+    r, rows = random.Random(21), []
+    for i in range(500):
+        p = r.randrange(5, 46)
+        rows.append((i, " ".join(f"u{k}" if k != p else f"edit{i}" for k in range(51))))
+    expect = passage_links(rows, passages.Options())
+    out = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).toPandas()
+    held = out.groupby("doc_id").cluster.agg(set).to_dict()
+    assert len(expect) > 500 and not [p for p in expect if not held[p[0]] & held[p[1]]]
+    assert max(rows_of.values()) < 20 * len(rows)
+
+
+def test_parts_of_a_key_all_meet(spark):
+    hot = [(m, g, g * 7) for m, k in ((1, 25), (2, 11)) for g in range(k)]
+    out = passages._parts(spark.createDataFrame(hot, "met long, gid long, place long"), 10).toPandas()
+    met = defaultdict(set)
+    for x in out.itertuples():
+        met[x.met].add(x.gid)
+    for k in (25, 11):
+        assert all(any({a, b} <= group for group in met.values()) for a in range(k) for b in range(k))
+    assert len(out) == 25 * 3 + 11 * 2
+
+
+def test_widen_against_pairs():
+    """The index that shrinks as components grow finds the components of all pairs."""
+    r, o = np.random.default_rng(5), passages.Options()
+    sets = []
+    for f in range(6):
+        base = r.choice(400, 30, replace=False) + 300 * f
+        sets += [np.unique(np.where(r.random(30) < 0.08, r.integers(0, 3000, 30), base)) for _ in range(40)]
+    sets = [sets[i].astype("<u4") for i in r.permutation(len(sets))]
+    n = np.array([len(x) for x in sets])
+    k = len(sets)
+    gid, place = np.arange(k) // 3, np.arange(k) * 17
+    got = passages._widen(np.arange(k), o, np.concatenate(sets), np.cumsum(n) - n, n, gid, place)
+    want = np.arange(k)
+    link = lambda i, j: (gid[i] != gid[j] or abs(place[i] - place[j]) >= o.size) and (c := len(np.intersect1d(sets[i], sets[j]))) >= o.threshold * (n[i] + n[j] - c)
+    pairs = [(i, j) for i in range(k) for j in range(i) if link(i, j)]
+    for _ in range(k):
+        for i, j in pairs:
+            want[i] = want[j] = min(want[i], want[j])
+    assert len(pairs) > 100 and (got == want).all()
+
+
 def test_passage_recall_on_families_of_twins(spark):
     """Brute force over all pairs of paragraphs, whatever their band keys: how many documents with a
     partner at the threshold are found."""
