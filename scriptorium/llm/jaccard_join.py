@@ -189,6 +189,8 @@ def _gather(table: pa.Table) -> pa.Table:
     for i in np.flatnonzero(dense).tolist():
         sets[i] = token[at : at + shared[i]]
         at += shared[i]
+    del token, token1, doc, use
+    trim()
     arrays = [pa.array(gid * GROUP_DOCS + np.arange(len(n))), pa.array(key.astype(np.int64), mask=null.astype(bool)), pa.array(digest.astype(np.int64)), pa.array(n.astype(np.int64)), *[pa.array(s.astype(np.int64)) for s in stats], pa.array(sets, pa.list_(pa.int64()))]
     return pa.Table.from_arrays(arrays, names=[c.split()[0] for c in _DOCS.split(", ")])
 
@@ -277,16 +279,19 @@ def _components(docs: DataFrame, key: str, body: str) -> tuple[DataFrame, DataFr
 
     dense = table.filter("shared is not null").join(member.filter("rid <> rep").select("rid"), "rid", "left_anti")
     dense, dense_at = keep(dense.select("rid", "n", "m1", "m2", "m3", "m4", "shared"), "dense")
-    edges, edges_at = _links(*_again(dense))
+    drop(spark, table_at, classes_at)
+    again, again_at = _again(dense)
+    drop(spark, dense_at)
+    edges, edges_at = _links(again, [again_at])
     labels = components(edges)
     least = labels.join(member.filter("rid = rep").select(F.col("rid").alias("v"), "least"), "v")
     lowest, lowest_at = keep(least.groupBy("label").agg(F.min("least").alias("lowest")), "lowest")
     found, _ = keep(least.select("v", "label").join(lowest, "label").select(F.col("v").alias("rep"), "label", "lowest"), "found")
-    drop(spark, table_at, classes_at, dense_at, lowest_at, *edges_at)
+    drop(spark, lowest_at, *edges_at)
     return member, found
 
 
-def _again(dense: DataFrame) -> tuple[DataFrame, list[str]]:
+def _again(dense: DataFrame) -> tuple[DataFrame, str]:
     """The step of the shared shingles once more, among the classes that it has left: copies no
     longer count. Adds the prefix (the rarest shared tokens), how many of it are indexed, and
     central: a class whose tokens many others hold is likely to stand in the middle of them."""
@@ -303,7 +308,10 @@ def _again(dense: DataFrame) -> tuple[DataFrame, list[str]]:
         "central": F.expr("aggregate(t.df, 0L, (s, x) -> s + least(x, 1000000)) * 1000 div n"),
     })
     out, out_at = keep(least.drop("t"), "dense-again")
-    return out, [held_at, many_at, out_at]
+    del least
+    drop(dense.sparkSession, held_at, many_at)
+    settle(dense.sparkSession)
+    return out, out_at
 
 
 def _links(dense: DataFrame, paths: list[str]) -> tuple[DataFrame, list[str]]:
@@ -319,6 +327,7 @@ def _links(dense: DataFrame, paths: list[str]) -> tuple[DataFrame, list[str]]:
         live, live_at = keep(live.join(stars.select(F.col("b").alias("rid")), "rid", "left_anti"), "live")
         paths += [at, pairs_at, stars_at, live_at]
         found.append(stars)
+        settle(dense.sparkSession)  # the sets were shuffled for the comparison
     stars = found[0]
     for more in found[1:]:
         stars = stars.union(more)
@@ -335,6 +344,7 @@ def _links(dense: DataFrame, paths: list[str]) -> tuple[DataFrame, list[str]]:
     meet = F.expr(f"x.token = y.token and x.g <> y.g and x.indexed <= y.high and {DEN} * x.high >= {NUM} * y.low")
     pairs, pairs_at = keep(left.join(right, meet).select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b")).distinct(), "group-pairs")
     leaders, leaders_at = keep(_compare(pairs, dense), "leaders")
+    settle(dense.sparkSession)
     # what a group's union adds to its first member's tokens in any one member, and the least size
     beyond = group.groupBy("g").agg(F.max("extra").alias("extra"), F.min("n").alias("low"), F.max(F.col("follows")).alias("several"))
     beyond, beyond_at = keep(beyond, "beyond")

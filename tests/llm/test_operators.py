@@ -281,6 +281,26 @@ def test_jaccard_odd_rows(odd, none):
     assert sorted(map(tuple, got), key=str) == linked([(r[0], r[1]) for r in ODD]) and jaccard_join.link(none).count() == 0
 
 
+def test_jaccard_tables_go_early(spark, monkeypatch):
+    """When the stars begin, only the members and the table with the sets are left, and shuffles are freed."""
+    left, seen, keep, drop = {}, [], jaccard_join.keep, jaccard_join.drop
+
+    def kept(df, name):
+        seen.append((name, sorted(left.values())))
+        out, path = keep(df, name)
+        left[path] = name
+        return out, path
+
+    monkeypatch.setattr(jaccard_join, "keep", kept)
+    monkeypatch.setattr(jaccard_join, "drop", lambda spark, *paths: (drop(spark, *paths), [left.pop(x, None) for x in paths]))
+    monkeypatch.setattr(jaccard_join, "settle", lambda spark: seen.append(("settle", None)))
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base[: 50 + i % 4])) for i in range(12)]
+    assert {x.component_id for x in jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
+    at = [n for n, _ in seen].index("firsts")
+    assert seen[at][1] == ["dense-again", "members"] and seen[at - 1][0] == "settle" and [n for n, _ in seen].count("settle") >= 7
+
+
 def test_components(spark):
     r = random.Random(7)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(400, 460)] + [(500, 500)]
